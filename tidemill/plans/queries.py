@@ -365,13 +365,13 @@ def tumbling_mean_by_user(spark, sf_dir):
 @query(
     f"""
     SELECT l_returnflag, time_bucket(INTERVAL 1 DAY, l_shipdate, INTERVAL 15 HOUR) AS s,
-           {mean_sql('l_extendedprice')} AS m, count(*) AS n
+           {mean_sql('l_quantity')} AS m, count(*) AS n
     FROM lineitem GROUP BY ALL
     """
 )
 def tumbling_mean_lineitem(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").select(
-        "l_returnflag", F.col("l_shipdate").alias("ts"), F.col("l_extendedprice").alias("value")
+        "l_returnflag", F.col("l_shipdate").alias("ts"), F.col("l_quantity").alias("value")
     )
     return _mean_and_count(tumbling_combine, items, "l_returnflag")
 
@@ -418,13 +418,13 @@ def sliding_mean_by_user(spark, sf_dir):
 @query(
     f"""
     SELECT l_returnflag, date_trunc('day', l_shipdate) - k * INTERVAL 1 DAY AS s,
-           {mean_sql('l_extendedprice')} AS m, count(*) AS n
+           {mean_sql('l_quantity')} AS m, count(*) AS n
     FROM lineitem, range(30) r(k) GROUP BY ALL
     """
 )
 def sliding_mean_lineitem(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").select(
-        "l_returnflag", F.col("l_shipdate").alias("ts"), F.col("l_extendedprice").alias("value")
+        "l_returnflag", F.col("l_shipdate").alias("ts"), F.col("l_quantity").alias("value")
     )
     return _mean_and_count(sliding_combine, items, "l_returnflag", width=30 * DAY, slide=DAY)
 
@@ -523,7 +523,7 @@ def _rain_lines_sql(closed: str) -> str:
     SELECT topic, concat('rainStoppedAt:', strftime(stopped, '%Y-%m-%dT%H:%M:%S.%g'), '+09:00', chr(9),
                          'rainContinued[h]:', n) AS value
     FROM runs {closed}
-    f"""
+    """
 
 
 def _readings(spark, sf_dir) -> DataFrame:
@@ -626,7 +626,7 @@ def stream_session_count(spark, sf_dir):
 
 @query(_rain_lines_sql(f"WHERE stopped <= {_LAST} - INTERVAL 1 MILLISECOND"))
 def stream_rain_run_job(spark, sf_dir):
-    """The whole rain job: messages, event time, watermark, filter, session, line.f"""
+    """The whole rain job: messages, event time, watermark, filter, session, line."""
     readings = timed_readings(_message_stream(spark, sf_dir), delay=SESSION_DELAY)
     line = rain_run_line(F.col("window_end"), F.col("hours"))
     return drain_to_table(spark, rain_runs(readings).select("topic", line.alias("value")), "rain")
@@ -635,7 +635,7 @@ def stream_rain_run_job(spark, sf_dir):
 @query(f"SELECT event_type, {mean_sql('value')} AS m, count(*) AS n FROM events GROUP BY 1")
 def stream_pane_means(spark, sf_dir):
     """Panes of micro-batches, brought together again: the count-weighted mean of
-    all panes is the mean of all rows, however the stream was cut.f"""
+    all panes is the mean of all rows, however the stream was cut."""
     base = scratch_dir(spark, "panes")
 
     def write(means: DataFrame, number: int) -> None:
