@@ -45,6 +45,7 @@ def parse_json_records(
     *,
     value: str = "value",
     carry: Sequence[str] = (),
+    times: Sequence[str] = (),
     on_malformed: OnMalformed = "fail",
     on_missing: OnMissing = "zero",
     on_unknown: OnUnknown = "ignore",
@@ -57,7 +58,8 @@ def parse_json_records(
     holds text where a number belongs (and, with ``on_unknown="fail"``, a field
     not listed) is malformed: it fails the job, or with ``"quarantine"`` comes
     out with the reason in the column ``parse_error`` (NULL on good rows); see
-    :func:`accepted` and :func:`rejected`.
+    :func:`accepted` and :func:`rejected`. ``times`` lists JSON names whose text must
+    be a time for the record to be good.
     """
     text = "_text"
     schema = T.StructType(
@@ -93,6 +95,9 @@ def parse_json_records(
         reasons.append(
             F.when(~_is_blank(raw) & raw.try_cast(dtype).isNull(), f"{name}: not a number")
         )
+    for name in times:
+        bad_time = F.try_to_timestamp(F.col(f"`{name}`")).isNull()
+        reasons.append(F.when(bad_time, f"{name}: not a time"))
     if on_unknown == "fail":
         known = F.array(*[F.lit(name) for name, _, _ in fields])
         extra = F.array_except(F.json_object_keys(text), known)
@@ -107,23 +112,26 @@ def parse_json_records(
     if on_malformed == "quarantine":
         return rows.select(*kept, *typed, F.col(text).alias("raw_value"), reason.alias(ERROR))
     # As a filter the check runs for every record, whatever columns are used later.
-    message = F.concat(F.lit("malformed record ("), reason, F.lit("): "), F.col(text))
+    shown = F.coalesce(F.col(text), F.lit("NULL"))
+    message = F.concat(F.lit("malformed record ("), reason, F.lit("): "), shown)
     checked = rows.filter(
-        F.when(reason.isNull(), True).otherwise(
-            F.raise_error(F.coalesce(message, reason)).cast("boolean")
-        )
+        F.when(reason.isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
     )
     return checked.select(*kept, *typed)
 
 
-def parse_weather(messages: DataFrame, *, carry: Sequence[str] = ("topic",), **rules) -> DataFrame:
-    """Parse weather messages; ``rules`` are those of :func:`parse_json_records`."""
+def parse_weather(
+    messages: DataFrame, *, carry: Sequence[str] = ("topic",), timed: bool = False, **rules
+) -> DataFrame:
+    """Parse weather messages; ``rules`` are those of :func:`parse_json_records`.
+    With ``timed``, a record needs a timestamp that can be read."""
     fields = [
         (TIMESTAMP_FIELD, TIMESTAMP, T.StringType()),
         (TEMPERATURE_FIELD, TEMPERATURE, T.FloatType()),
         (RAINFALL_FIELD, RAINFALL, T.FloatType()),
     ]
-    return parse_json_records(messages, fields, carry=carry, **rules)
+    times = [TIMESTAMP_FIELD] if timed else []
+    return parse_json_records(messages, fields, carry=carry, times=times, **rules)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -104,6 +104,7 @@ def session_combine(
     combine: Combine = COUNT,
     name: str = "n",
     gap: timedelta = HOUR,
+    prefold: bool = True,
     two_level: bool | None = None,
 ) -> DataFrame:
     """Aggregate over sessions: runs of rows of one key, each at most ``gap`` after
@@ -122,10 +123,13 @@ def session_combine(
     grows, so then (or with ``two_level=True``) cells are first chained inside
     (key, chunk of 4096 cells) and only the first and last session of each chunk
     are brought together by key.
+
+    ``prefold=False`` uses Spark's session windows in a batch, too: one shuffle
+    instead of two, for data known to have many small keys and no large one.
     """
     if not keys:
         raise ValueError("sessions need at least one grouping key, such as the station")
-    if df.isStreaming:
+    if df.isStreaming or not prefold:
         window = F.session_window(time, interval_text(gap)).alias("_w")
         folded = df.groupBy(*keys, window).agg(*combine.fold(F.col(reading)))
         return folded.select(*keys, *_bounds("_w"), combine.result().alias(name))
@@ -171,15 +175,14 @@ def session_combine(
 def _chain(runs: DataFrame, group: list[str], gap_us: int, combine: Combine) -> DataFrame:
     """Merge the disjoint runs of a group that are at most ``gap_us`` apart."""
     ordered = Window.partitionBy(*group).orderBy("_first")
-    starts = F.lag("_last").over(ordered).isNull() | (
-        F.col("_first") - F.lag("_last").over(ordered) > gap_us
-    )
+    starts = F.col("_before").isNull() | (F.col("_first") - F.col("_before") > gap_us)
     # A session is named by the start of its first run.
     session = F.max(F.when(F.col("_starts"), F.col("_first"))).over(
         ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        runs.withColumn("_starts", starts)
+        runs.withColumn("_before", F.lag("_last").over(ordered))
+        .withColumn("_starts", starts)
         .withColumn("_session", session)
         .groupBy(*group, "_session")
         .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"),

@@ -41,9 +41,10 @@ from tidemill.schema import EVENT_TIME, RAINFALL, TEMPERATURE, TIMESTAMP
 STATION_KEY = "topic"
 
 
-def _parsed(messages: DataFrame, rules: dict) -> DataFrame:
-    parsed = parse_weather(messages, **rules)
-    return accepted(parsed) if rules.get("on_malformed") == "quarantine" else parsed
+def _parsed(messages: DataFrame, rules: dict, *, timed: bool = False) -> DataFrame:
+    if rules.get("on_malformed") == "quarantine":
+        return accepted(parse_weather(messages, timed=timed, **rules))
+    return parse_weather(messages, **rules)
 
 
 def passthrough_messages(messages: DataFrame) -> DataFrame:
@@ -71,8 +72,7 @@ def timed_readings(
 ) -> DataFrame:
     """Parse, take the event time, and set the watermark before anything is
     filtered. ``delay=None`` leaves the watermark to the caller."""
-    lenient = rules.get("on_malformed") == "quarantine"
-    timed = with_event_time(_parsed(messages, rules), strict=not lenient)
+    timed = with_event_time(_parsed(messages, rules, timed=True))
     return timed if delay is None else with_watermark(timed, delay)
 
 
