@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tests import weather
 from tests.weather import HOUR, START, hourly, message, write_messages, write_slices
+from tidemill.functions import moving_mean_line
 from tidemill.operators import (
     filter_above_watermark,
     keep_above,
     session_combine,
+    sliding_combine,
     watermark_per_source,
     with_watermark,
 )
@@ -124,6 +126,19 @@ def test_moving_means(replay):
     assert found == pytest.approx(expected, abs=1e-9)
 
 
+def test_moving_means_from_streamed_panes(replay):
+    """Two chained aggregations of a stream give what one gives."""
+    rows = hourly(days=3)
+    write_slices(replay.inbox, TOPIC, rows)
+    readings = timed_readings(replay.source())
+    means = sliding_combine(readings, EVENT_TIME, "temperature_c", keys=["topic"], prefold=True)
+    line = moving_mean_line(F.col("window_start"), F.col("mean"))
+    found = parsed_lines(replay.run(means.select("topic", line.alias("value"))))
+    last = weather.stamp(end_of(rows) - 3 * HOUR)
+    expected = {start: m for start, m in weather.moving(rows).items() if start <= last}
+    assert found == pytest.approx(expected, abs=1e-9)
+
+
 def test_batch_has_the_open_windows_too(spark, replay):
     rows = hourly(days=3)
     write_slices(replay.inbox, TOPIC, rows)

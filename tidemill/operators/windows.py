@@ -70,8 +70,9 @@ def sliding_combine(
     A batch is first folded into panes, the widest slices that no window edge
     cuts, and only panes are copied into the ``width / slide`` windows they
     belong to, not rows. A stream keeps one state instead of two, so there each
-    row is copied and combined in the map task. ``prefold=False`` does the same
-    in a batch, for data with about one row per key and pane.
+    row is copied and combined in the map task. ``prefold`` overrides either
+    choice: ``False`` for a batch with about one row per key and pane, ``True`` for
+    a stream with many overlapping windows.
     """
     window = F.window(
         "_t", interval_text(width), interval_text(slide)
@@ -83,9 +84,10 @@ def sliding_combine(
         panes = df.groupBy(
             *keys, F.window(time, interval_text(pane_width)).alias("_pane")
         ).agg(*combine.fold(F.col(reading)))
-        # All rows of a pane lie in the same windows as its first instant.
+        # All rows of a pane lie in the same windows as its last instant, which
+        # also carries the watermark on.
         folded = (
-            panes.select(*keys, F.col("_pane.start").alias("_t"), *combine.parts)
+            panes.select(*keys, F.window_time("_pane").alias("_t"), *combine.parts)
             .groupBy(*keys, window)
             .agg(*combine.merge_parts())
         )
