@@ -1,11 +1,13 @@
 """The command line, from message files to result files."""
 
+import time
+
 import pytest
 
 from tests import weather
 from tests.weather import hourly, write_messages, write_slices
 from tidemill.jobs import main
-from tidemill.jobs.cli import STREAM_JOBS, _delay, _parser
+from tidemill.jobs.cli import STREAM_JOBS, _delay, _parser, start
 
 TOPIC = "weather-made-up"
 
@@ -78,6 +80,27 @@ def test_quarantine(spark, tmp_path):
     }
 
 
+def test_refreshing_mean_by_timer(spark, tmp_path):
+    write_messages(f"{tmp_path}/in", "weather-a", "0", [weather.message(*r) for r in hourly(days=1)])
+    argv = [
+        "refreshing-mean", "--panes", "timer", "--source", "files", "--in-path", f"{tmp_path}/in",
+        "--sink", "files", "--out-path", f"{tmp_path}/out", "--checkpoint", f"{tmp_path}/c",
+    ]
+    (query,) = start(spark, _parser().parse_args(argv))
+    try:
+        for _ in range(300):
+            assert query.exception() is None
+            if (query.lastProgress or {}).get("batchId", 0) > 1:
+                break
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    (row,) = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert row["topic"] == "weather-a"
+    mean = float(row["value"].removeprefix("currentMeanTemperature:"))
+    assert mean == pytest.approx(weather.mean([t for _, t, _ in hourly(days=1)]), abs=1e-9)
+
+
 def test_clean_and_load(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
@@ -113,6 +136,8 @@ def test_default_delays():
         ["json-lines", "--checkpoint", "c", "--source", "files", "--in-path", "i", "--sink",
          "files", "--out-path", "o", "--on-malformed", "quarantine"],
         ["passthrough", "--on-missing", "zero", "--checkpoint", "c"],
+        ["refreshing-mean", "--panes", "timer", "--available-now", "--checkpoint", "c",
+         "--source", "files", "--in-path", "i", "--sink", "files", "--out-path", "o"],
     ],
 )
 def test_wrong_options_are_refused(argv):

@@ -58,7 +58,7 @@ def expected_sessions(rows, gap):
 @pytest.mark.parametrize("how", ["one level", "two levels", "built in"])
 def test_sessions(spark, monkeypatch, gap, how):
     # Chunks of three cells, so that sessions cross many chunk edges.
-    monkeypatch.setattr(windows, "_CHUNK_CELLS", 3)
+    monkeypatch.setattr(windows, "_LONG_SPAN", 9 * gap)
     options = {
         "one level": {"two_level": False},
         "two levels": {"two_level": True},

@@ -51,7 +51,7 @@ from tidemill.sources import (
     write_parquet,
     write_tsv,
 )
-from tidemill.streaming import start_pane_means
+from tidemill.streaming import start_pane_means, timer_pane_means
 
 # Jobs without windows: messages -> rows.
 STATELESS = {
@@ -92,6 +92,11 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--quarantine-path", help="folder for malformed records")
             job.add_argument("--on-missing", choices=("zero", "null"), default="zero")
             job.add_argument("--on-unknown", choices=("ignore", "fail"), default="ignore")
+        if name == REFRESHING:
+            job.add_argument(
+                "--panes", choices=("batch", "timer"), default="batch",
+                help="a pane is a micro-batch, or closes a second after its first arrival",
+            )
         if name in WINDOWED:
             job.add_argument(
                 "--watermark", choices=("merged", "per-topic"), default="merged",
@@ -128,6 +133,8 @@ def _check(parser: argparse.ArgumentParser, args: argparse.Namespace) -> None:
         need(args.out_path, "--out-path", "a file sink")
     if getattr(args, "on_malformed", None) == "quarantine":
         need(args.quarantine_path, "--quarantine-path", "quarantine")
+    if getattr(args, "panes", None) == "timer" and args.available_now:
+        parser.error("panes closed by a timer have no end: leave out --available-now")
     if getattr(args, "watermark", None) == "per-topic":
         need(args.in_topic, "--in-topic", "a watermark per topic")
 
@@ -174,17 +181,27 @@ def _start_sink(args: argparse.Namespace, rows: DataFrame) -> StreamingQuery:
 
 
 def _start_refreshing(args: argparse.Namespace, readings: DataFrame) -> StreamingQuery:
+    if args.panes == "timer":
+        panes = timer_pane_means(readings, "reading", key="topic")
+        return _start_sink(args, refreshing_mean_lines(panes.withColumnRenamed("pane_key", "topic")))
+
     def write(means: DataFrame, number: int) -> None:
         lines = refreshing_mean_lines(means)
         if args.sink == "files":
             lines.write.mode("overwrite").parquet(f"{args.out_path}/batch={number}")
         else:
-            lines.write.format("kafka").option(
+            to_value_messages(lines).write.format("kafka").option(
                 "kafka.bootstrap.servers", args.bootstrap_servers
             ).option("topic", args.out_topic).save()
 
     return start_pane_means(
-        readings, "reading", write, f"{args.checkpoint}/output", available_now=args.available_now
+        readings,
+        "reading",
+        write,
+        f"{args.checkpoint}/output",
+        keys=("topic",),
+        trigger=args.trigger or "1 second",
+        available_now=args.available_now,
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
-from math import gcd
+from math import gcd, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,8 +21,8 @@ HOUR = timedelta(hours=1)
 
 # Gaps shorter than this get a second, chunked merge; see session_combine.
 _SHORT_GAP = timedelta(minutes=1)
-# Cells per chunk in that merge.
-_CHUNK_CELLS = 4096
+# The time span that merge is laid out for. Longer ones are right as well.
+_LONG_SPAN = timedelta(days=3650)
 
 BOUNDS = ("window_start", "window_end")
 
@@ -123,8 +123,9 @@ def session_combine(
     Step 2 handles at most (time span / gap) rows per key, however many rows a
     hot key has: 88,000 for ten years and one hour. With a short gap that bound
     grows, so then (or with ``two_level=True``) cells are first chained inside
-    (key, chunk of 4096 cells) and only the first and last session of each chunk
-    are brought together by key.
+    (key, chunk of cells) and only the first and last session of each chunk are
+    brought together by key. Chunks are as long as there are many in ten years, so
+    either part sees about the square root of that bound.
 
     ``prefold=False`` uses Spark's session windows in a batch, too: one shuffle
     instead of two, for data known to have many small keys and no large one.
@@ -149,16 +150,12 @@ def session_combine(
              *combine.fold(F.col("_reading")))
     )
     if two_level:
-        chunk_us = gap_us * _CHUNK_CELLS
+        chunk_us = gap_us * max(1, isqrt(micros(_LONG_SPAN) // gap_us))
         chunked = cells.withColumn("_part", F.col("_cell") - F.pmod("_cell", F.lit(chunk_us)))
         local = _chain(chunked, [*keys, "_part"], gap_us, combine)
         # Sessions strictly inside a chunk cannot meet another one: they stay
         # where they are. Those at either edge of it form one group per key.
-        in_chunk = Window.partitionBy(*keys, "_part")
-        at_edge = (F.col("_first") == F.min("_first").over(in_chunk)) | (
-            F.col("_last") == F.max("_last").over(in_chunk)
-        )
-        regrouped = local.withColumn("_group", F.when(~at_edge, F.col("_part"))).drop("_part")
+        regrouped = local.withColumn("_group", F.when(~F.col("_edge"), F.col("_part")))
         sessions = _chain(regrouped, [*keys, "_group"], gap_us, combine)
     else:
         sessions = _chain(cells, list(keys), gap_us, combine)
@@ -175,21 +172,22 @@ def session_combine(
 
 
 def _chain(runs: DataFrame, group: list[str], gap_us: int, combine: Combine) -> DataFrame:
-    """Merge the disjoint runs of a group that are at most ``gap_us`` apart."""
+    """Merge the disjoint runs of a group that are at most ``gap_us`` apart. ``_edge``
+    tells the first and the last session of the group."""
     ordered = Window.partitionBy(*group).orderBy("_first")
     starts = F.col("_before").isNull() | (F.col("_first") - F.col("_before") > gap_us)
     # A session is named by the start of its first run.
     session = F.max(F.when(F.col("_starts"), F.col("_first"))).over(
         ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    at_edge = F.col("_before").isNull() | F.col("_after").isNull()
     return (
         runs.withColumn("_before", F.lag("_last").over(ordered))
+        .withColumn("_after", F.lead("_first").over(ordered))
         .withColumn("_starts", starts)
         .withColumn("_session", session)
         .groupBy(*group, "_session")
         .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"),
-             *combine.merge_parts())
+             F.bool_or(at_edge).alias("_edge"), *combine.merge_parts())
         .drop("_session")
     )
-
-

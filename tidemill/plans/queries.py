@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions import (
+    COUNT,
     MEAN_AND_COUNT,
     daily_mean_line,
     decode_long,
@@ -45,6 +46,7 @@ from tidemill.operators import (
     session_combine,
     sliding_combine,
     tumbling_combine,
+    watermark_per_source,
     with_watermark,
 )
 from tidemill.operators.eventtime import SESSION_DELAY
@@ -632,6 +634,49 @@ def stream_rain_run_job(spark, sf_dir):
     return drain_to_table(spark, rain_runs(readings).select("topic", line.alias("value")), "rain")
 
 
+@query(
+    f"""{_DAILY_LINES}
+    HAVING date_trunc('day', t) + INTERVAL 1 DAY <= {_LAST}"""
+)
+def stream_daily_mean_job(spark, sf_dir):
+    """The whole daily job on a stream: the last day stays open."""
+    means = daily_means(timed_readings(_message_stream(spark, sf_dir)))
+    line = daily_mean_line(F.col("window_start"), rounded("mean"))
+    return drain_to_table(spark, means.select("topic", line.alias("value")), "daily")
+
+
+@query(
+    f"""{_MOVING_LINES}
+    HAVING date_trunc('hour', t) - k * INTERVAL 1 HOUR + INTERVAL 3 HOUR <= {_LAST}"""
+)
+def stream_moving_mean_job(spark, sf_dir):
+    means = moving_means(timed_readings(_message_stream(spark, sf_dir)))
+    line = moving_mean_line(F.col("window_start"), rounded("mean"))
+    return drain_to_table(spark, means.select("topic", line.alias("value")), "moving")
+
+
+@query(
+    """
+    WITH r AS (SELECT 'orders' AS source, o_orderdate AS ts FROM orders
+               UNION ALL SELECT 'lineitem', l_shipdate FROM lineitem),
+    ends AS (SELECT source, max(ts) AS t FROM r GROUP BY source)
+    SELECT source, time_bucket(INTERVAL 1 DAY, ts, INTERVAL 15 HOUR) AS s, count(*) AS n
+    FROM r GROUP BY ALL
+    HAVING time_bucket(INTERVAL 1 DAY, ts, INTERVAL 15 HOUR) + INTERVAL 1 DAY
+           <= (SELECT min(t) FROM ends)
+    """
+)
+def stream_joint_watermark(spark, sf_dir):
+    """Two streams with a watermark each: a window closes when both have passed it."""
+    sources = [
+        table_stream(spark, sf_dir, name).select(F.lit(name).alias("source"), instant(time).alias("ts"))
+        for name, time in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
+    ]
+    both = watermark_per_source(sources, name="ts")
+    counts = tumbling_combine(both, "ts", "source", combine=COUNT, name="n", keys=["source"])
+    return drain_to_table(spark, counts.select("source", ntz("window_start").alias("s"), "n"), "joint")
+
+
 @query(f"SELECT event_type, {mean_sql('value')} AS m, count(*) AS n FROM events GROUP BY 1")
 def stream_pane_means(spark, sf_dir):
     """Panes of micro-batches, brought together again: the count-weighted mean of

@@ -121,5 +121,6 @@ def temperatures(messages: DataFrame, **rules) -> DataFrame:
 
 
 def refreshing_mean_lines(pane_means: DataFrame) -> DataFrame:
-    """Lines of the means of fired panes."""
-    return pane_means.select(refreshing_mean_line(F.col("mean")).alias("value"))
+    """Lines of the means of fired panes, of one station or one pane per station."""
+    station = [c for c in pane_means.columns if c == STATION_KEY]
+    return pane_means.select(*station, refreshing_mean_line(F.col("mean")).alias("value"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tidemill.operators.panes import pane_mean
+from tidemill.sources.sinks import start_query
 
 ONE_SECOND = timedelta(seconds=1)
 
@@ -34,10 +35,10 @@ def start_pane_means(
     checkpoint: str,
     *,
     keys: tuple[str, ...] = (),
-    every: timedelta = ONE_SECOND,
+    trigger: str = "1 second",
     available_now: bool = False,
 ) -> StreamingQuery:
-    """One pane per micro-batch, one micro-batch per ``every``.
+    """One pane per micro-batch, one micro-batch per ``trigger``.
 
     ``write`` gets the pane's means (``mean``, ``n`` and the keys) and the batch
     number. A batch is given again with the same number after a failure, so a
@@ -49,9 +50,7 @@ def start_pane_means(
         write(pane_mean(batch, reading, *keys), number)
 
     writer = df.writeStream.foreachBatch(fire).option("checkpointLocation", checkpoint)
-    if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{every // timedelta(milliseconds=1)} milliseconds").start()
+    return start_query(writer, trigger=trigger, available_now=available_now)
 
 
 class _PaneTimer(StatefulProcessor):
