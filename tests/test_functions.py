@@ -44,10 +44,10 @@ def test_key_of_wrong_length_fails(spark):
 
 
 def test_text_codec(spark):
-    rows = spark.createDataFrame([("釧路 °C",)], "t string")
+    rows = spark.createDataFrame([("札幌 °C",)], "t string")
     coded = rows.select(encode_text(F.col("t")).alias("b"))
-    assert bytes(one(coded)) == "釧路 °C".encode()
-    assert one(coded.select(decode_text(F.col("b")))) == "釧路 °C"
+    assert bytes(one(coded)) == "札幌 °C".encode()
+    assert one(coded.select(decode_text(F.col("b")))) == "札幌 °C"
 
 
 def test_instant_and_local_forms(spark):

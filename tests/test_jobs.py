@@ -104,12 +104,12 @@ def test_refreshing_mean_by_timer(spark, tmp_path):
 def test_clean_and_load(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
-    lines = ["x", "x", "x", "年月日時,a", ",b", "2022/1/1 0:00:00,-8.2,8,1,0,1,8,1", ""]
-    (raw / "20220101-20220131-kushiro.csv").write_bytes("\r\n".join(lines).encode("cp932"))
+    lines = ["x", "x", "x", "年月日時,a", ",b", "2023/1/1 0:00:00,-8.2,8,1,0,1,8,1", ""]
+    (raw / "20230101-20230131-sapporo.csv").write_bytes("\r\n".join(lines).encode("cp932"))
     main(["clean", "--in-path", f"{raw}/*.csv", "--out-path", f"{tmp_path}/tidy"], spark)
     main(["load", "--in-path", f"{tmp_path}/tidy", "--out-path", f"{tmp_path}/table"], spark)
     row = spark.read.parquet(f"{tmp_path}/table").collect()[0]
-    assert (row["timestamp"], row["rainfall_mm"]) == ("2022-01-01T00:00:00.000+09:00", 0.0)
+    assert (row["timestamp"], row["rainfall_mm"]) == ("2023-01-01T00:00:00.000+09:00", 0.0)
 
 
 def args(*argv):

@@ -1,8 +1,8 @@
 """Command line of the jobs.
 
     spark-submit --py-files tidemill.zip run_job.py daily-mean \
-        --bootstrap-servers broker:9092 --in-topic weather-tokyo \
-        --out-topic daily-means --checkpoint /shared/checkpoints/daily-tokyo
+        --bootstrap-servers broker:9092 --in-topic weather-osaka \
+        --out-topic daily-means --checkpoint /shared/checkpoints/daily-osaka
 """
 
 from __future__ import annotations

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions import (
     COUNT,
+    MEAN,
     MEAN_AND_COUNT,
     daily_mean_line,
     decode_long,
@@ -65,6 +66,7 @@ from tidemill.schema import RAINFALL, TEMPERATURE, TIMESTAMP
 from tidemill.session import scratch_dir
 from tidemill.sources import (
     read_weather_tsv,
+    start_file_sink,
     to_keyed_messages,
     to_value_messages,
     write_tsv,
@@ -303,6 +305,25 @@ def temperature_lines(spark, sf_dir):
     return non_negative_lines(event_messages(table(spark, sf_dir, "events")))
 
 
+def _both_readings(events: DataFrame) -> DataFrame:
+    """A user's element function with none, one or two outputs per row."""
+    rain = F.get_json_object("props", "$.k").cast("double")
+    outputs = F.array(F.when(F.col("value") >= 40, F.col("value")), F.when(rain >= 50, rain))
+    return events.select("event_id", F.explode(F.array_compact(outputs)).alias("reading"))
+
+
+@query(
+    """
+    SELECT event_id, value AS reading FROM events WHERE value >= 40
+    UNION ALL
+    SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) FROM events
+    WHERE CAST(json_extract_string(props, '$.k') AS DOUBLE) >= 50
+    """
+)
+def element_function(spark, sf_dir):
+    return table(spark, sf_dir, "events").transform(_both_readings)
+
+
 # --- dates ---------------------------------------------------------------------------
 
 
@@ -498,6 +519,25 @@ def session_count_lineitem(spark, sf_dir):
     return _session_columns(out, "l_suppkey")
 
 
+@query(
+    f"""
+    WITH a AS (SELECT user_id, ts, value,
+                      CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOUR
+                           THEN 0 ELSE 1 END AS f FROM events),
+    b AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY ts, f DESC ROWS UNBOUNDED PRECEDING) AS g
+          FROM a)
+    SELECT user_id, min(ts) AS started, {mean_sql('value')} AS m FROM b GROUP BY user_id, g
+    """
+)
+def session_mean(spark, sf_dir):
+    """Another aggregate passed to the same window."""
+    out = session_combine(
+        table(spark, sf_dir, "events"), "ts", "value",
+        keys=["user_id"], gap=6 * HOUR, combine=MEAN, name="mean",
+    )
+    return out.select("user_id", ntz("window_start").alias("started"), rounded("mean").alias("m"))
+
+
 # --- the windowed jobs from messages to lines ---------------------------------------------------
 
 _DAILY_LINES = f"""
@@ -655,6 +695,34 @@ def stream_moving_mean_job(spark, sf_dir):
     return drain_to_table(spark, means.select("topic", line.alias("value")), "moving")
 
 
+_MIDDLE = "TIMESTAMP '2024-01-16 00:00:00'"
+
+
+@query(
+    f"""SELECT * FROM (
+        SELECT time_bucket(INTERVAL 1 DAY, ts, INTERVAL 15 HOUR) AS s,
+               {mean_sql('value')} AS m, count(*) AS n
+        FROM events WHERE ts >= {_MIDDLE} GROUP BY 1)
+    WHERE s + INTERVAL 1 DAY <= {_LAST}"""
+)
+def stream_late_rows(spark, sf_dir):
+    """The second half of the month first; the first half comes when its windows are
+    past the watermark, in a second run from the same checkpoint, and is dropped."""
+    base = scratch_dir(spark, "late")
+    rows = table(spark, sf_dir, "events").select("ts", "value")
+    middle = F.to_timestamp_ntz(F.lit("2024-01-16 00:00:00"))
+    for half, part in (("second", rows.filter(F.col("ts") >= middle)),
+                       ("first", rows.filter(F.col("ts") < middle))):
+        part.write.parquet(f"{base}/in/{half}")
+        arrived = spark.readStream.schema(rows.schema).parquet(f"{base}/in/*")
+        timed = with_watermark(arrived.withColumn("ts", instant("ts")), name="ts")
+        start_file_sink(
+            _mean_and_count(tumbling_combine, timed), f"{base}/table", f"{base}/checkpoint",
+            available_now=True,
+        ).awaitTermination()
+    return spark.read.parquet(f"{base}/table")
+
+
 @query(
     """
     WITH r AS (SELECT 'orders' AS source, o_orderdate AS ts FROM orders
