@@ -11,6 +11,7 @@ from tidemill.operators import clean_observations, parse_weather
 from tidemill.sources import (
     KafkaSource,
     as_messages,
+    read_kafka,
     read_raw_observations,
     read_weather_tsv,
     to_keyed_messages,
@@ -181,6 +182,35 @@ def test_kafka_options():
     }
 
 
+class FakeReader:
+    """Takes the place of a session and its reader, and remembers the options."""
+
+    def __init__(self, rows):
+        self.rows, self.seen = rows, {}
+        self.read = self.readStream = self
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.seen.update(options)
+        return self
+
+    def load(self):
+        return self.rows
+
+
+def test_kafka_metadata_is_dropped(spark):
+    columns = "key binary, value binary, topic string, partition int, offset bigint"
+    reader = FakeReader(spark.createDataFrame([], columns))
+    assert read_kafka(reader, KafkaSource("b:9092", ("t",))).columns == ["key", "value", "topic"]
+    assert (reader.seen["format"], reader.seen["startingOffsets"]) == ("kafka", "latest")
+    # A batch from the latest offsets would read nothing.
+    read_kafka(reader, KafkaSource("b:9092", ("t",)), stream=False)
+    assert reader.seen["startingOffsets"] == "earliest"
+
+
 def test_sink_layouts(spark):
     rows = spark.createDataFrame([(5, "x")], "key bigint, value string")
     keyed = to_keyed_messages(rows)

@@ -188,6 +188,22 @@ def test_plain_filter_would_hold_the_watermark_back(replay):
     assert replay.run(out) == []
 
 
+def test_filter_stays_above_the_watermark_of_a_column_without_nulls(spark, tmp_path):
+    never_null = F.coalesce("timestamp", F.timestamp_micros(F.lit(0))).alias("timestamp")
+    ticks = spark.readStream.format("rate").load().select(never_null, "value")
+    ticks = with_watermark(ticks, name="timestamp")
+    assert not ticks.schema["timestamp"].nullable
+    kept = keep_above(ticks, "value", 3, time="timestamp")
+    query = kept.writeStream.format("noop").option("checkpointLocation", str(tmp_path)).start()
+    try:
+        query.processAllAvailable()
+        plan = query._jsq.explainInternal(True)
+    finally:
+        query.stop()
+    optimized = plan[plan.index("== Optimized Logical Plan ==") :]
+    assert optimized.index("Filter") < optimized.index("EventTimeWatermark")
+
+
 def test_safe_filter_parses_once(spark, replay):
     write_slices(replay.inbox, TOPIC, hourly(days=1))
     base = message_lines(spark, replay.inbox, stream=False)

@@ -84,10 +84,16 @@ def sliding_combine(
         panes = df.groupBy(
             *keys, F.window(time, interval_text(pane_width)).alias("_pane")
         ).agg(*combine.fold(F.col(reading)))
-        # All rows of a pane lie in the same windows as its last instant, which
-        # also carries the watermark on.
+        # All rows of a pane lie in the same windows as its first instant, and as its
+        # last one, which carries the watermark on. A batch says that it is not NULL:
+        # otherwise the check for that would be moved down to the rows.
+        if df.isStreaming:
+            instant = F.window_time("_pane")
+        else:
+            never = F.timestamp_micros(F.lit(0)).cast(dict(df.dtypes)[time])
+            instant = F.coalesce(F.col("_pane.start"), never)
         folded = (
-            panes.select(*keys, F.window_time("_pane").alias("_t"), *combine.parts)
+            panes.select(*keys, instant.alias("_t"), *combine.parts)
             .groupBy(*keys, window)
             .agg(*combine.merge_parts())
         )
