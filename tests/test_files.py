@@ -148,6 +148,13 @@ def test_cleaning_needs_to_know_the_days(spark, tmp_path):
     assert given.count() == 3
 
 
+def test_unreadable_time_of_a_data_row_fails(spark, tmp_path):
+    path = tmp_path / "20230101-20230131-sapporo.csv"
+    path.write_text("2023/1/32 0:00:00,1,8,1,0,1,8,1\n")
+    with pytest.raises(PySparkException, match="unreadable time"):
+        clean_observations(read_raw_observations(spark, str(path))).collect()
+
+
 def test_written_tsv_reads_as_hourly_table(spark, tmp_path):
     source = tmp_path / "20230101-20230131-sapporo.csv"
     source.write_bytes("\r\n".join(RAW_LINES).encode("cp932"))

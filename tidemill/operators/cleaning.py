@@ -34,13 +34,19 @@ def clean_observations(
     text, as in the source; a missing one is NULL in its own column.
     """
     rows = raw.filter(F.col("c0").rlike(DATA_ROW))
-    instant = F.to_timestamp(F.concat("c0", F.lit(f" {LOCAL_OFFSET}")), RAW_TIME)
+    unreadable = F.raise_error(F.concat(F.lit("unreadable time: "), "c0")).cast("timestamp")
+    instant = F.coalesce(
+        F.try_to_timestamp(F.concat("c0", F.lit(f" {LOCAL_OFFSET}")), F.lit(RAW_TIME)), unreadable
+    )
     day = F.to_date(F.from_utc_timestamp(F.col("_instant"), LOCAL_OFFSET))
     first = F.lit(first_day) if first_day else _named_day(F.col("file_name"), 1)
     if last_day:
         end = F.lit(last_day + timedelta(days=1))
     else:
         end = F.date_add(_named_day(F.col("file_name"), 2), 1)
-    kept = rows.withColumn("_instant", instant).filter((day >= first) & (day < end))
+    # Through a one-element generator, below which the filter cannot be moved: there it
+    # would parse every time again.
+    timed = rows.select("*", F.explode(F.array(instant)).alias("_instant"))
+    kept = timed.filter((day >= first) & (day < end))
     values = (local_datetime_text(F.col("_instant")), F.col("c1"), F.col("c4"))
     return kept.select(*[v.alias(name) for v, name in zip(values, READING_FIELDS, strict=True)])
