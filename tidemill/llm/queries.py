@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.bpe import decode_bpe, encode_bpe
 from tidemill.llm.common import table
+from tidemill.llm.winnow import neighbour_likeness
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -18,6 +19,13 @@ def sha256(text: str) -> F.Column:
     return F.sha2(F.col(text).cast("binary"), 256)
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_likeness(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", sha256("edited").alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = encode_bpe(documents, VOCABULARY).select("doc_id", "ids")
@@ -32,6 +40,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_winnowing": op6_winnowing,
     "op8_bpe": op8_bpe,
 }
 ORACLES: dict[str, str] = {}
