@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.bpe import decode_bpe, encode_bpe
 from tidemill.llm.common import table
+from tidemill.llm.lines import dedup_lines
+from tidemill.llm.mixing import mix_sources
 from tidemill.llm.winnow import neighbour_likeness
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +21,17 @@ def sha256(text: str) -> F.Column:
     return F.sha2(F.col(text).cast("binary"), 256)
 
 
+def op1_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(documents).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies"
+    )
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_likeness(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_chars", sha256("edited").alias("edited_sha256"), "fingerprint",
@@ -40,6 +53,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_chunks": op1_line_chunks,
+    "op5_mixing": op5_mixing,
     "op6_winnowing": op6_winnowing,
     "op8_bpe": op8_bpe,
 }
