@@ -12,6 +12,7 @@ from tidemill.llm.bpe import decode_bpe, encode_bpe
 from tidemill.llm.common import table
 from tidemill.llm.lines import dedup_lines
 from tidemill.llm.mixing import mix_sources
+from tidemill.llm.quality import held_out, score_quality, train
 from tidemill.llm.winnow import neighbour_likeness
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -52,10 +53,20 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(documents, table(spark, sf_dir, "labels"))
+    return score_quality(documents, model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_chunks": op1_line_chunks,
     "op5_mixing": op5_mixing,
     "op6_winnowing": op6_winnowing,
     "op8_bpe": op8_bpe,
+    "op9_quality": op9_quality,
 }
 ORACLES: dict[str, str] = {}
