@@ -12,6 +12,7 @@ from tidemill.llm.bpe import decode_bpe, encode_bpe
 from tidemill.llm.common import table
 from tidemill.llm.lines import dedup_lines
 from tidemill.llm.mixing import mix_sources
+from tidemill.llm.ordermin import near_duplicates
 from tidemill.llm.quality import held_out, score_quality, train
 from tidemill.llm.winnow import neighbour_likeness
 
@@ -27,6 +28,10 @@ def op1_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies"
@@ -64,6 +69,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_chunks": op1_line_chunks,
+    "op3_order_minhash": op3_order_minhash,
     "op5_mixing": op5_mixing,
     "op6_winnowing": op6_winnowing,
     "op8_bpe": op8_bpe,
