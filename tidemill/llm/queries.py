@@ -14,6 +14,7 @@ from tidemill.llm.lines import dedup_lines
 from tidemill.llm.mixing import mix_sources
 from tidemill.llm.ordermin import near_duplicates
 from tidemill.llm.quality import held_out, score_quality, train
+from tidemill.llm.subspace import linked_vectors
 from tidemill.llm.winnow import neighbour_likeness
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +33,12 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "n_links", "component_id", "kept"
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies"
@@ -70,6 +77,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_chunks": op1_line_chunks,
     "op3_order_minhash": op3_order_minhash,
+    "op4_subspace_join": op4_subspace_join,
     "op5_mixing": op5_mixing,
     "op6_winnowing": op6_winnowing,
     "op8_bpe": op8_bpe,
