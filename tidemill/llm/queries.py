@@ -14,6 +14,7 @@ from tidemill.llm.lines import dedup_lines
 from tidemill.llm.mixing import mix_sources
 from tidemill.llm.ordermin import near_duplicates
 from tidemill.llm.quality import held_out, score_quality, train
+from tidemill.llm.runindex import remove_repeats
 from tidemill.llm.subspace import linked_vectors
 from tidemill.llm.winnow import neighbour_likeness
 
@@ -29,6 +30,14 @@ def op1_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x.high - x.low)
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -76,6 +85,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_chunks": op1_line_chunks,
+    "op2_run_index": op2_run_index,
     "op3_order_minhash": op3_order_minhash,
     "op4_subspace_join": op4_subspace_join,
     "op5_mixing": op5_mixing,
