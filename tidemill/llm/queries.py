@@ -16,7 +16,9 @@ from tidemill.llm.ordermin import near_duplicates
 from tidemill.llm.quality import held_out, score_quality, train
 from tidemill.llm.runindex import remove_repeats
 from tidemill.llm.subspace import linked_vectors
+from tidemill.llm.warc import page_of, page_records, read_warc, write_warc
 from tidemill.llm.winnow import neighbour_likeness
+from tidemill.session import scratch_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -61,6 +63,32 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = scratch_dir(spark, "warc")
+    write_warc(page_records(table(spark, sf_dir, "pages")), archives)
+    responses = read_warc(spark, archives).where("record_type = 'response'").select(
+        page_of("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"),
+    )
+    revisits = read_warc(spark, archives, payload=False).where("record_type = 'revisit'").select(
+        page_of("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"),
+        F.expr("substring_index(payload_digest, ':', -1)").alias("payload_digest"), "record_type",
+        page_of("refers_to").alias("refers_to"),
+    )
+    return responses.union(revisits)
+
+
+OP7 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+l AS (SELECT payload_digest, max(page_id) AS latest FROM h WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, h.payload_digest,
+  CASE WHEN latest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN latest <> page_id THEN latest END AS refers_to
+FROM h LEFT JOIN l ON h.payload_digest = l.payload_digest AND payload_bytes >= 1000
+"""
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = encode_bpe(documents, VOCABULARY).select("doc_id", "ids")
@@ -90,7 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_subspace_join": op4_subspace_join,
     "op5_mixing": op5_mixing,
     "op6_winnowing": op6_winnowing,
+    "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_warc": OP7}
