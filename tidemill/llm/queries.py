@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.bpe import decode_bpe, encode_bpe
 from tidemill.llm.common import table
 from tidemill.llm.lines import dedup_lines
+from tidemill.llm.maintext import extract_main_text
+from tidemill.llm.maintext import train as train_regions
 from tidemill.llm.mixing import mix_sources
 from tidemill.llm.ordermin import near_duplicates
 from tidemill.llm.quality import held_out, score_quality, train
@@ -111,6 +113,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages, train_regions(pages)).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_chunks": op1_line_chunks,
     "op2_run_index": op2_run_index,
@@ -121,5 +130,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
+    "op10_main_text": op10_main_text,
 }
 ORACLES: dict[str, str] = {"op7_warc": OP7}
