@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +41,13 @@ def schema_with(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType(kept + [T.StructField(n, t, True) for n, t in fields])
 
 
+def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns named by their place, so that none clashes with an operator's
+    own, and the new name of each."""
+    names = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def append(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     """``batch`` with the columns given, which replace columns of the same name."""
     new = {name.lower() for name in columns}
@@ -117,10 +122,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def components(links: DataFrame, purpose: str) -> DataFrame:
     """(id, component) of the ids in ``links`` (a, b): the smallest id reachable.
 
-    Alternates two steps until nothing changes: every node's larger neighbours are
-    linked to its smallest, then its smaller ones. Each link is replaced, not
-    multiplied, and the number of rounds grows with the logarithm of the longest
-    chain. A centre's neighbours are never gathered: the minimum is joined to them.
+    Two steps alternate until nothing changes: every node's larger neighbours are linked
+    to its smallest, then its smaller ones. Links are replaced, not multiplied, and the
+    rounds grow with the logarithm of the longest chain. A centre's neighbours are never
+    gathered: the minimum is joined to them.
     """
     edges = saved(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -132,9 +137,7 @@ def components(links: DataFrame, purpose: str) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        # Smaller neighbours keep a link to the smallest through the node itself.
-        kept = low.where("m < a").select("a", F.col("m").alias("b"))
-        edges = saved(large.union(kept).where("a <> b").distinct(), purpose)
+        edges = saved(large.distinct(), purpose)
         small = edges.groupBy("a").agg(F.min("b").alias("m"))
         pulled = edges.join(small, "a").where("b <> m").select(
             F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")
@@ -147,14 +150,3 @@ def components(links: DataFrame, purpose: str) -> DataFrame:
             break
         before = now
     return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
-
-
-def chunked(items: Iterable, size: int) -> Iterator[list]:
-    chunk: list = []
-    for item in items:
-        chunk.append(item)
-        if len(chunk) == size:
-            yield chunk
-            chunk = []
-    if chunk:
-        yield chunk

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import append, mix64, saved, schema_with, texts_of
+from tidemill.llm.common import append, mix64, positional, saved, schema_with, texts_of
 
 ROLL = 2  # lines under the rolling hash
 MEAN = 4  # one rolling hash in so many ends a chunk
@@ -58,6 +58,13 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     line, and blank lines, are never repeated passages. Columns of ``df`` named as those
     added are replaced.
     """
+    plain, names = positional(df)
+    done = _dedup(plain, names[key], names[text])
+    added = ("n_lines", "n_removed")
+    return done.select(*[F.col(c).alias(n) for n, c in names.items() if n.lower() not in added], *added)
+
+
+def _dedup(df: DataFrame, key: str, text: str) -> DataFrame:
     docs = df.withColumns({"_key": F.col(key), "_row": F.xxhash64(text)})
     kind = df.schema[key].dataType
     place = [T.StructField("_key", kind), T.StructField("_row", T.LongType()), T.StructField("_chunk", T.IntegerType()),

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import saved
+from tidemill.llm.common import positional, saved
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, CEILING = 1.5, 2.0
@@ -167,9 +167,10 @@ def take_copies(df: DataFrame, mixed: DataFrame, key: str = "doc_id", text: str
     decided = decided.withColumn("_turn", F.row_number().over(turn)).select(
         F.col("_key").alias("_k"), F.col("_size").alias("_s"), F.col("_turn").alias("_t"), "_copies"
     )
-    own = df.select("*", F.col(key).alias("_key"), word_count(text).alias("_size"))
+    plain, names = positional(df)
+    own = plain.select("*", F.col(names[key]).alias("_key"), word_count(names[text]).alias("_size"))
     own = own.withColumn("_turn", F.row_number().over(turn))
     same = own["_key"].eqNullSafe(decided["_k"]) & (own["_size"] == decided["_s"]) & (own["_turn"] == decided["_t"])
     return own.join(decided, same).withColumn(
         "_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))
-    ).select(*[own[c] for c in df.columns])
+    ).select(*[own[c].alias(n) for n, c in names.items()])
