@@ -1,0 +1,55 @@
+from tests.llm.cases import documents, lines, odd_rows
+from tidemill.llm.lines import chunk_ends, dedup_lines
+
+
+def brute(rows):
+    """Occurrences in the order of keys, null last; rows alike in key and text as one."""
+    seen, out = set(), {}
+    for row in sorted(set((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0)):
+        if row[1] is None:
+            out[row] = None
+            continue
+        own, start, parts = [], 0, row[1].split("\n")
+        for end in chunk_ends(parts):
+            chunk = tuple(parts[start:end])
+            start = end
+            if sum(bool(x.strip()) for x in chunk) >= 2:
+                if chunk in seen:
+                    continue
+                seen.add(chunk)
+            own += chunk
+        out[row] = "\n".join(own)
+    return out
+
+
+def test_odd_rows(spark):
+    rows = odd_rows()
+    df = documents(spark, rows)
+    got = dedup_lines(df)
+    assert got.columns == [*df.columns, "n_lines", "n_removed"]
+    expected = brute(rows)
+    result = got.select("doc_id", "text", "source", "_key", "_row", "n_lines", "n_removed").collect()
+    assert sorted(map(str, [(r[0], r[1]) for r in result])) == sorted(map(str, [(r[0], expected[r[0], r[1]]) for r in rows]))
+    assert {(r[3], r[4]) for r in result} == {(2, 3)}
+    assert any(r.n_removed for r in result)
+
+
+def test_chunks_move_with_the_lines():
+    text = lines(5, 200).split("\n")
+    ends = chunk_ends(text)
+    moved = chunk_ends([*lines(6, 3).split("\n"), *text])
+    shared = {e + 3 for e in ends} & set(moved)
+    assert len(shared) > 0.9 * len(ends)
+    assert all(b - a >= 2 for a, b in zip([0, *ends[:-2]], ends[:-1]))
+
+
+def test_passage_inside_other_text(spark):
+    passage = lines(7, 40)
+    rows = [(i, f"{lines(10 + i, 4)}\n{passage}\n{lines(30 + i, 4)}") for i in range(4)]
+    got = {r.doc_id: r for r in dedup_lines(documents(spark, rows)).collect()}
+    assert got[0].n_removed == 0
+    assert all(got[i].n_removed > 25 for i in (1, 2, 3))
+
+
+def test_empty_table(spark):
+    assert dedup_lines(documents(spark, []).limit(0)).count() == 0

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,6 +123,26 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)
 
 
+def packed_texts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, row, packed): a hash of the text and its compressed bytes, null as empty.
+    Shuffles of these move about half of what the texts would."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zip_ = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            raw = [t or b"" for t in batch.column(1).to_pylist()]
+            row = [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in raw]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(row, pa.int64()), pa.array(map(zip_.compress, raw), pa.binary())],
+                ["key", "row", "packed"],
+            )
+
+    return df.select(F.col(key).alias("key"), F.col(text).cast("binary")).mapInArrow(
+        run, f"key {kind}, row long, packed binary"
+    )
+
+
 def components(links: DataFrame, purpose: str) -> DataFrame:
     """(id, component) of the ids in ``links`` (a, b): the smallest id reachable.
 

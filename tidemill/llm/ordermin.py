@@ -20,14 +20,14 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import components, mix64, saved, texts_of
+from tidemill.llm.common import components, mix64, packed_texts, saved, texts_of
 
 SHINGLE, SIMILAR = 5, 0.8
 SKETCHES, PICKED = 32, 6  # a pair at 0.8 shares no sketch once in 16,000 times
@@ -139,37 +139,59 @@ def sketched(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those (a, b) of ``pairs`` that align; ``texts`` has (key, text)."""
-    side = {x: texts.select(F.col("key").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
+    """Those (a, b) of ``pairs`` that align; ``texts`` has (key, packed)."""
+    side = {x: texts.select(F.col("key").alias(x), F.col("packed").alias(f"text_{x}")) for x in "ab"}
     both = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[str | None, np.ndarray] = (None, np.zeros(0, np.uint64))
+        unzip = zstandard.ZstdDecompressor()
+        last: tuple[bytes | None, np.ndarray] = (None, np.zeros(0, np.uint64))
         for batch in batches:
             good = []
             for s, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if s != last[0]:
-                    last = (s, shingles(s))
-                good.append(alignment(last[1], shingles(t)) >= SIMILAR)
+                    last = (s, shingles(unzip.decompress(s).decode("utf-8")))
+                good.append(alignment(last[1], shingles(unzip.decompress(t).decode("utf-8"))) >= SIMILAR)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.mapInArrow(run, both.select("a", "b").schema)
 
 
-def _cross(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a straggler and another member, not yet connected, with like slots."""
-    left, right = group[group["_left"]], group[~group["_left"]]
-    mine = np.frombuffer(b"".join(left["slots"]), "<u2").reshape(-1, SLOTS)
-    other = np.frombuffer(b"".join(right["slots"]), "<u2").reshape(-1, SLOTS)
-    comps, keys = right["comp"].to_numpy(), right["key"].to_numpy()
-    out = []
-    for i in range(len(left)):
-        equal = ((mine[i] == other) & (other > 0)).sum(1)
-        any_ = ((mine[i] > 0) | (other > 0)).sum(1)
-        like = ((equal >= LIKE * any_) | (any_ < SURE_SLOTS)) & (comps != left["comp"].iloc[i])
-        out.append(pd.DataFrame({"a": left["key"].iloc[i], "b": keys[like]}))
-    pairs = pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
-    return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
+def _meet(table: pa.Table) -> pa.Table:
+    """Verified links of the left members with others, one for each two classes. Members
+    with like slots are aligned, the likest first, until their classes are connected."""
+    keys, texts = table["key"].to_pylist(), table["packed"]
+    is_left = table["left"].to_numpy()
+    left, right = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+    bins = np.frombuffer(b"".join(table["slots"].to_pylist()), "<u2").reshape(-1, SLOTS)
+    other = bins[right]
+    names, classes = np.unique(table["comp"].to_numpy(), return_inverse=True)
+    root = list(range(len(names)))
+    unzip = zstandard.ZstdDecompressor()
+    known: dict[int, np.ndarray] = {}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    def own(i: int) -> np.ndarray:
+        if i not in known:
+            known[i] = shingles(unzip.decompress(texts[i].as_py()).decode("utf-8"))
+        return known[i]
+
+    links = []
+    for i in left.tolist():
+        equal = ((bins[i] == other) & (other > 0)).sum(1)
+        any_ = ((bins[i] > 0) | (other > 0)).sum(1)
+        like = np.flatnonzero((equal >= LIKE * any_) | (any_ < SURE_SLOTS))
+        for j in right[like[np.argsort(-equal[like], kind="stable")]].tolist():
+            x, y = find(classes[i]), find(classes[j])
+            if x != y and alignment(own(i), own(j)) >= SIMILAR:
+                root[max(x, y)] = min(x, y)
+                links.append((keys[i], keys[j]))
+    kind = table.schema.field("key").type
+    return pa.table({"a": pa.array([a for a, _ in links], kind), "b": pa.array([b for _, b in links], kind)})
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -199,9 +221,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         members.join(centres, ["band", "value"]).where("key <> centre")
         .select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")).distinct()
     )
-    own = df.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
-    texts = own.join(members.select("key").distinct(), "key", "left_semi")
-    texts = saved(texts.groupBy("key").agg(F.min("text").alias("text")), "omh-texts")
+    texts = packed_texts(df, key, text).join(members.select("key").distinct(), "key", "left_semi")
+    texts = saved(texts.groupBy("key").agg(F.min("packed").alias("packed")), "omh-texts")
     links = saved(verified(pairs, texts), "omh-links")
     found = saved(components(links, "omh-components"), "omh-classes")
 
@@ -214,22 +235,20 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
     placed = placed.join(homes, ["band", "value"])
     open_ = placed.where("comp <> home").groupBy("band", "value").agg(F.count("*").alias("stray"))
-    rest = placed.join(open_, ["band", "value"]).join(reps.select("key", "slots"), "key")
+    rest = placed.join(open_, ["band", "value"]).join(reps.select("key", "slots"), "key").join(texts, "key")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     spot = F.pmod(F.xxhash64("key"), blocks).cast("int")
     lots = F.sequence(F.lit(0), blocks - 1)
-    left = rest.where("comp <> home").select("*", spot.alias("_i"), F.explode(lots).alias("_j"), F.lit(True).alias("_left"))
-    right = rest.select("*", F.explode(lots).alias("_i"), spot.alias("_j"), F.lit(False).alias("_left"))
+    left = rest.where("comp <> home").select("*", spot.alias("i"), F.explode(lots).alias("j"), F.lit(True).alias("left"))
+    right = rest.select("*", F.explode(lots).alias("i"), spot.alias("j"), F.lit(False).alias("left"))
     kind = df.schema[key].dataType.simpleString()
     more = (
-        left.union(right).select("band", "value", "_i", "_j", "_left", "key", "comp", "slots")
-        .groupBy("band", "value", "_i", "_j").applyInPandas(_cross, f"a {kind}, b {kind}").distinct()
+        left.union(right).select("band", "value", "i", "j", "left", "key", "comp", "slots", "packed")
+        .groupBy("band", "value", "i", "j").applyInArrow(_meet, f"a {kind}, b {kind}")
     )
-    more = saved(more, "omh-more-pairs")
+    more = saved(more, "omh-more-links")
     if not more.isEmpty():
-        # Each pair was tried before only if one of the two was a centre.
-        links = links.union(verified(more.join(pairs, ["a", "b"], "left_anti"), texts))
-        found = saved(components(saved(links, "omh-all-links"), "omh-components"), "omh-classes")
+        found = saved(components(saved(links.union(more), "omh-all-links"), "omh-components"), "omh-classes")
 
     classes = every.join(firsts, "copy", "left").join(found, F.col("rep") == F.col("id"), "left")
     class_id = F.when(F.col("key").isNotNull(), F.coalesce("component", "rep"))

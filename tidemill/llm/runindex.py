@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import Roller, saved, sliding_min
+from tidemill.llm.common import Roller, packed_texts, saved, sliding_min
 
 LENGTH = 400
 ANCHORS = (64, 256, 384, 400)  # bytes of an anchor, level by level
@@ -238,25 +238,6 @@ def _spans_of(groups: DataFrame, level: int) -> DataFrame:
     )
 
 
-def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, row, packed): texts as compressed bytes, which halves what is shuffled."""
-    kind = df.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zip_ = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            raw = [t or b"" for t in batch.column(1).to_pylist()]
-            row = [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in raw]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(row, pa.int64()), pa.array(map(zip_.compress, raw), pa.binary())],
-                ["key", "row", "packed"],
-            )
-
-    return df.select(F.col(key).alias("key"), F.col(text).cast("binary")).mapInArrow(
-        run, f"key {kind}, row long, packed binary"
-    )
-
-
 def _occurrences(df: DataFrame, key: str, text: str) -> DataFrame:
     """(anchor, content, key, row, low, size), one for each context of each row."""
     kind = df.schema[key].dataType.simpleString()
@@ -305,7 +286,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     wanted = wanted.groupBy(F.col("key").alias("k"), F.col("row").alias("r")).agg(
         F.collect_list(F.struct("anchor", "content", "times", "low", "size")).alias("cuts")
     )
-    rows = _rows(df, key, text)
+    rows = packed_texts(df, key, text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
