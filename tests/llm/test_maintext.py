@@ -1,0 +1,77 @@
+import random
+
+from tests.llm.cases import words
+from tidemill.llm.maintext import Page, best_region, extract_main_text, learn, train
+
+MENU = "<nav><ul>" + "".join(f'<li><a href="/{i}">go {i}</a></li>' for i in range(8)) + "</ul></nav>"
+FOOT = "<footer>&copy; the site &middot; all of its rights are kept by the firm that runs it</footer>"
+
+
+def page(seed, open_="<article>", close="</article>", inner=""):
+    draw = random.Random(seed)
+    blocks = [words(seed * 50 + i, draw.randint(1, 60)) for i in range(draw.randint(2, 9))]
+    body = "".join(f"<p><b>{b}</b><br>" if i % 3 else f"<p>{b}</p>" for i, b in enumerate(blocks[1:]))
+    html = (
+        f'<!DOCTYPE html><html><head><title>{blocks[0]}</title><style>p{{}}</style><script>var t="</p>";</script></head>'
+        f'<body>{MENU}<!-- <p>no</p> --><div class="ad">{words(seed, 12)}</div>{open_}<h1>{blocks[0]}</h1>{inner}{body}{close}{FOOT}</body></html>'
+    )
+    return html, "\n".join(blocks)
+
+
+def text_of(html, weights):
+    own = Page(html)
+    return own.text(*best_region(own.scores(weights)))
+
+
+def weights():
+    return learn([Page(page(i)[0]) for i in range(60)])
+
+
+def test_region_is_the_best_of_all():
+    draw = random.Random(1)
+    for _ in range(200):
+        scores = [draw.choice([1.0, 1.0, -0.5, -2.0]) for _ in range(draw.randint(0, 12))]
+        low, high = best_region(scores)
+        best = max([sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)], default=0)
+        assert sum(scores[low:high]) == max(best, 0)
+
+
+def test_articles():
+    learnt = weights()
+    assert all(w < 0 for w in learnt.values())
+    assert learnt["p"] > learnt["nav"]
+    for seed in range(200, 260):
+        html, text = page(seed)
+        assert text_of(html, learnt) == text
+        html, text = page(seed, '<div class="content">', "</div>")  # no article marked
+        assert text_of(html, learnt) == text
+
+
+def test_what_is_no_text():
+    learnt = weights()
+    for inner in (
+        '<div class="cookie-notice">We use cookies</div>', "<form>Mail me <input></form>", "<aside>More of it</aside>",
+        '<section id="comments"><p>Nice post</p></section>', "<script>if (a<b) x('<p>no</p>')</script>", "<style>p{}</style>",
+        '<div style="display: none">hidden</div>', '<div role="navigation">Home</div>', '<ins class="adv-box">Buy</ins>',
+    ):
+        html, text = page(7, inner=inner)
+        assert text_of(html, learnt) == text
+
+
+def test_references_white_space_and_broken_markup():
+    assert text_of("<p>a &amp;&lt;b&gt; &eacute;&#233; &#x1F600;\n\t c<p>d<b>e</b>f<br>g < h", {}) == "a &<b> éé 😀 c\ndefg < h"
+    for odd in ("<", "<p", "<!--", "<a href='x", "</", "<p>x</div></p></p>", "&", "<>", "a<b", "<![CDATA[x", "<script>x"):
+        text_of(odd, {})
+
+
+def test_odd_rows(spark):
+    html, text = page(3)
+    rows = [(1, "u", html), (2, None, None), (3, "u", ""), (None, "u", "<html></html>"), (4, "u", "<p>" + words(1, 30000)), (1, "u", html)]
+    df = spark.createDataFrame([(*r, "old", 1) for r in rows], "page_id long, url string, html string, text string, kinds int")
+    got = extract_main_text(df, weights())
+    assert sorted(got.columns) == sorted(df.columns)
+    found = {(r.page_id, r.url): r.text for r in got.collect()}
+    assert got.count() == len(rows)
+    assert found == {(1, "u"): text, (2, None): "", (3, "u"): "", (None, "u"): "", (4, "u"): words(1, 30000)}
+    assert extract_main_text(df.limit(0), {}).count() == 0
+    assert train(df.limit(0)) == {} and train(df)

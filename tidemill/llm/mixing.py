@@ -79,7 +79,8 @@ def flight(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.nda
         down = min(p[i] / s if s > 0 else (1 - p[i]) / -s for i, s in zip(open_, step) if s)
         move = up if chance[k] * (up + down) < down else -down
         for i, s in zip(open_, step):
-            p[i] = min(1.0, max(0.0, p[i] + move * s))
+            p[i] += move * s
+            p[i] = 0.0 if p[i] < _EPS else 1.0 if p[i] > 1 - _EPS else p[i]
         open_ = [i for i in open_ if _EPS < p[i] < 1 - _EPS]
     return p
 
