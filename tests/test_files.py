@@ -14,11 +14,14 @@ from tidemill.sources import (
     read_kafka,
     read_raw_observations,
     read_weather_tsv,
+    start_file_sink,
+    stream_parquet,
     to_keyed_messages,
     to_value_messages,
     write_parquet,
     write_tsv,
 )
+from tidemill.streaming import drain_to_table
 
 HEADER = "timestamp\ttemperature [°C]\trainfall [mm]"
 
@@ -84,6 +87,52 @@ def test_bad_number_in_a_tsv_fails(spark, tmp_path):
         read_weather_tsv(spark, str(tmp_path)).collect()
 
 
+def test_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "20230101-20230131-x.tsv").write_text(
+        "rainfall [mm]\ttimestamp\ttemperature [°C]\n0.5\t2023-01-01T00:00:00.000+09:00\t-8.2\n", encoding="utf-8"
+    )
+    row = read_weather_tsv(spark, str(tmp_path)).collect()[0]
+    assert (row["rainfall_mm"], row["temperature_c"]) == (0.5, pytest.approx(-8.2))
+
+
+@pytest.mark.parametrize(
+    "header", ["timestamp\ttemp\train", "2023-01-01T00:00:00.000+09:00\t1\t2", "timestamp\ttemperature [°C]"]
+)
+def test_other_headers_fail(spark, tmp_path, header):
+    (tmp_path / "20230101-20230131-x.tsv").write_text(f"{header}\n2023-01-01T00:00:00.000+09:00\t1\t2\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="columns"):
+        read_weather_tsv(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_files_of_unlike_headers_fail(spark, tmp_path, tmp_path_factory, stream):
+    swapped = [*HEADER.split("\t")[1:], "timestamp"]
+    for name, header in (("20230101-20230131-a", HEADER), ("20230101-20230131-b", "\t".join(swapped))):
+        (tmp_path / f"{name}.tsv").write_text(f"{header}\n1\t1\t1\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        rows = read_weather_tsv(spark, str(tmp_path), stream=stream).select("temperature_c")
+        if stream:
+            base = tmp_path_factory.mktemp("s")
+            start_file_sink(rows, f"{base}/t", f"{base}/c", available_now=True).awaitTermination()
+        else:
+            rows.collect()
+
+
+def test_unnamed_files_fail(spark, tmp_path):
+    (tmp_path / "x.tsv").write_text(f"{HEADER}\n2023-01-01T00:00:00.000+09:00\t1\t2\n", encoding="utf-8")
+    with pytest.raises(PySparkException, match="no station in file name"):
+        read_weather_tsv(spark, str(tmp_path)).collect()
+
+
+def test_a_path_is_no_pattern(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/a1x")
+    rows = stream_parquet(spark, f"{tmp_path}/a1x", spark.range(1).schema)
+    assert drain_to_table(spark, rows, "test-glob").count() == 3
+    for name in ("a[1]x", "a{x}", "a*", "a?"):
+        with pytest.raises(ValueError, match="pattern"):
+            stream_parquet(spark, f"{tmp_path}/{name}", spark.range(1).schema)
+
+
 def test_tsv_as_stream(spark, tsv_folder, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("stream"))
     rows = read_weather_tsv(spark, tsv_folder, stream=True).select("station", "temperature_c")
@@ -148,9 +197,10 @@ def test_cleaning_needs_to_know_the_days(spark, tmp_path):
     assert given.count() == 3
 
 
-def test_unreadable_time_of_a_data_row_fails(spark, tmp_path):
+@pytest.mark.parametrize("time", ["2023/1/32 0:00:00", "2023-01-01 00:00:00", "2023/1/1", " 5"])
+def test_unreadable_time_of_a_data_row_fails(spark, tmp_path, time):
     path = tmp_path / "20230101-20230131-sapporo.csv"
-    path.write_text("2023/1/32 0:00:00,1,8,1,0,1,8,1\n")
+    path.write_text(f"{time},1,8,1,0,1,8,1\n")
     with pytest.raises(PySparkException, match="unreadable time"):
         clean_observations(read_raw_observations(spark, str(path))).collect()
 
@@ -158,10 +208,10 @@ def test_unreadable_time_of_a_data_row_fails(spark, tmp_path):
 def test_written_tsv_reads_as_hourly_table(spark, tmp_path):
     source = tmp_path / "20230101-20230131-sapporo.csv"
     source.write_bytes("\r\n".join(RAW_LINES).encode("cp932"))
-    out = str(tmp_path / "out")
+    out = str(tmp_path / "20230101-20230131-sapporo")
     write_tsv(clean_observations(read_raw_observations(spark, str(source))), out)
     text = "\n".join(
-        p.read_text(encoding="utf-8") for p in (tmp_path / "out").glob("part-*.csv")
+        p.read_text(encoding="utf-8") for p in (tmp_path / "20230101-20230131-sapporo").glob("part-*.csv")
     ).splitlines()
     assert HEADER in text
     assert "2023-01-01T00:00:00.000+09:00\t-8.2\t0" in text

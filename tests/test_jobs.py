@@ -7,7 +7,8 @@ import pytest
 from tests import weather
 from tests.weather import hourly, write_messages, write_slices
 from tidemill.jobs import main
-from tidemill.jobs.cli import STREAM_JOBS, _delay, _parser, start
+from tidemill.jobs.cli import STREAM_JOBS, WINDOWED, _delay, _parser, _records, start
+from tidemill.streaming import LateRowsError
 
 TOPIC = "weather-made-up"
 
@@ -29,6 +30,7 @@ def test_every_job_runs(spark, tmp_path, job):
     rows = hourly(days=3)
     write_slices(f"{tmp_path}/in", TOPIC, rows, size=24)
     more = ["--in-topic", TOPIC, "--max-files-per-trigger", "1"]
+    more += ["--delay", "0"] if job in WINDOWED else []
     out = run(spark, str(tmp_path), job, *more)
     days = 2  # the last one stays open
     expected = {
@@ -58,7 +60,7 @@ def test_watermark_per_topic(spark, tmp_path):
         write_slices(f"{tmp_path}/in", "weather-a", hourly(days=3)[24 * i : 24 * i + 24], 24, i)
     write_slices(f"{tmp_path}/in", "weather-b", hourly(days=2), 48)
     out = run(
-        spark, str(tmp_path), "daily-mean", "--watermark", "per-topic",
+        spark, str(tmp_path), "daily-mean", "--watermark", "per-topic", "--delay", "0",
         "--in-topic", "weather-a", "--in-topic", "weather-b",
     )
     # The slower topic ends on its second day, so only first days are closed.
@@ -69,7 +71,7 @@ def test_quarantine(spark, tmp_path):
     good = [weather.message(*r) for r in hourly(days=2)]
     write_messages(f"{tmp_path}/in", TOPIC, "0", [*good, "junk", '{"timestamp": "soon"}'])
     out = run(
-        spark, str(tmp_path), "daily-mean", "--in-topic", TOPIC,
+        spark, str(tmp_path), "daily-mean", "--in-topic", TOPIC, "--delay", "0",
         "--on-malformed", "quarantine", "--quarantine-path", f"{tmp_path}/bad",
     )
     assert out.count() == 1
@@ -104,12 +106,18 @@ def test_refreshing_mean_by_timer(spark, tmp_path):
 def test_clean_and_load(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
-    lines = ["x", "x", "x", "年月日時,a", ",b", "2023/1/1 0:00:00,-8.2,8,1,0,1,8,1", ""]
-    (raw / "20230101-20230131-sapporo.csv").write_bytes("\r\n".join(lines).encode("cp932"))
+    for name, reading in (("sapporo", "-8,8,1,0,1,8,1"), ("naha", "15.5,8,1,0.5,1,8,1")):
+        lines = ["x", "x", "x", "年月日時,a", ",b", f"2023/1/1 0:00:00,{reading}", ""]
+        (raw / f"20230101-20230131-{name}.csv").write_bytes("\r\n".join(lines).encode("cp932"))
     main(["clean", "--in-path", f"{raw}/*.csv", "--out-path", f"{tmp_path}/tidy"], spark)
     main(["load", "--in-path", f"{tmp_path}/tidy", "--out-path", f"{tmp_path}/table"], spark)
-    row = spark.read.parquet(f"{tmp_path}/table").collect()[0]
-    assert (row["timestamp"], row["rainfall_mm"]) == ("2023-01-01T00:00:00.000+09:00", 0.0)
+    found = spark.read.parquet(f"{tmp_path}/table").select(
+        "station", "season", "timestamp", "temperature_c", "rainfall_mm"
+    )
+    stamp = "2023-01-01T00:00:00.000+09:00"
+    assert sorted(map(tuple, found.collect())) == [
+        ("Naha", "Winter", stamp, 15.5, 0.5), ("Sapporo", "Winter", stamp, -8.0, 0.0)
+    ]
 
 
 def args(*argv):
@@ -118,14 +126,53 @@ def args(*argv):
 
 def test_default_delays():
     one, two = ["--in-topic", "a"], ["--in-topic", "a", "--in-topic", "b"]
-    assert _delay(args("daily-mean", *one)).total_seconds() == 0
-    assert _delay(args("rain-runs", *one)).total_seconds() == 0.001
-    assert _delay(args("daily-mean", *two)).total_seconds() == 7200
-    assert _delay(args("daily-mean", *two, "--watermark", "per-topic")).total_seconds() == 0
+    for topics in (one, two, [*two, "--watermark", "per-topic"]):
+        for job in WINDOWED:
+            assert _delay(args(job, *topics)).total_seconds() == 7200
+    assert _delay(args("daily-mean", *one, "--delay", "0")).total_seconds() == 0
     assert _delay(args("rain-runs", *one, "--delay", "0")).total_seconds() == 0.001
     assert _delay(args("moving-mean", *two, "--delay", "60")).total_seconds() == 60
 
 
+def test_default_delay_keeps_the_slower_partition(spark, tmp_path):
+    """Two partitions of one topic, one of them an hour behind: nothing is lost."""
+    rows = hourly(days=3)
+    for i in range(0, len(rows), 2):
+        write_slices(f"{tmp_path}/in", TOPIC, [rows[i + 1]], first=2 * i)
+        write_slices(f"{tmp_path}/in", TOPIC, [rows[i]], first=2 * i + 1)
+    out = run(spark, str(tmp_path), "daily-mean", "--in-topic", TOPIC, "--max-files-per-trigger", "1",
+              "--fail-on-late")
+    assert out.count() == 2
+
+
+def test_late_rows_can_fail_the_job(spark, tmp_path):
+    write_slices(f"{tmp_path}/in", TOPIC, hourly(days=3), size=24)
+    write_slices(f"{tmp_path}/in", TOPIC, hourly(days=1)[:2], first=900_000)
+    with pytest.raises(LateRowsError):
+        run(spark, str(tmp_path), "daily-mean", "--in-topic", TOPIC, "--max-files-per-trigger", "1",
+            "--delay", "0", "--fail-on-late")
+
+
+def test_lines_of_several_topics_name_theirs(spark):
+    lines = spark.createDataFrame([("weather-a", "x"), ("weather-b", "x")], "topic string, value string")
+    one, two = ["--in-topic", "a"], ["--in-topic", "a", "--in-topic", "b"]
+    assert _records(args("json-lines", *one), lines).columns == ["value"]
+    keyed = _records(args("json-lines", *two), lines).collect()
+    assert {(bytes(r["key"]), bytes(r["value"])) for r in keyed} == {(b"weather-a", b"x"), (b"weather-b", b"x")}
+
+
+def test_every_record_is_in_the_output_or_in_quarantine(spark, tmp_path):
+    good = [weather.message(*r) for r in hourly(days=1)]
+    write_messages(f"{tmp_path}/in", TOPIC, "0", [*good[:10], "junk", *good[10:], "{", "[1]"])
+    out = run(
+        spark, str(tmp_path), "json-lines", "--in-topic", TOPIC, "--on-malformed", "quarantine",
+        "--quarantine-path", f"{tmp_path}/bad",
+    )
+    bad = [r["raw_value"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()]
+    assert out.count() == len(good) == out.distinct().count()
+    assert sorted(bad) == ["[1]", "junk", "{"]
+
+
 @pytest.mark.parametrize(
     "argv",
     [
@@ -135,6 +182,8 @@ def test_default_delays():
         ["daily-mean", "--checkpoint", "c", "--source", "files", "--sink", "files"],
         ["json-lines", "--checkpoint", "c", "--source", "files", "--in-path", "i", "--sink",
          "files", "--out-path", "o", "--on-malformed", "quarantine"],
+        ["json-lines", "--checkpoint", "c", "--bootstrap-servers", "b", "--in-topic", "t", "--out-topic",
+         "o", "--on-malformed", "quarantine", "--quarantine-path", "q"],
         ["passthrough", "--on-missing", "zero", "--checkpoint", "c"],
         ["refreshing-mean", "--panes", "timer", "--available-now", "--checkpoint", "c",
          "--source", "files", "--in-path", "i", "--sink", "files", "--out-path", "o"],

@@ -1,6 +1,8 @@
 """Streams against batches and plain Python: the same operators, fed in slices."""
 
+import contextlib
 import json
+import time
 from datetime import timedelta
 
 import pytest
@@ -18,7 +20,7 @@ from tidemill.operators import (
     watermark_per_source,
     with_watermark,
 )
-from tidemill.operators.eventtime import SESSION_DELAY
+from tidemill.operators.eventtime import NO_DELAY, SESSION_DELAY
 from tidemill.plans import (
     daily_mean_lines,
     daily_means,
@@ -32,7 +34,13 @@ from tidemill.plans import (
 )
 from tidemill.schema import EVENT_TIME
 from tidemill.sources import message_lines, start_file_sink
-from tidemill.streaming import drain_timers_to_table, start_pane_means, timer_pane_means
+from tidemill.streaming import (
+    LateRows,
+    LateRowsError,
+    drain_timers_to_table,
+    start_pane_means,
+    timer_pane_means,
+)
 
 TOPIC = "weather-made-up"
 
@@ -109,7 +117,7 @@ def test_json_lines_keep_text(replay):
 def test_daily_means(replay):
     rows = hourly()
     write_slices(replay.inbox, TOPIC, rows)
-    found = parsed_lines(replay.run(daily_mean_lines(replay.source())))
+    found = parsed_lines(replay.run(daily_mean_lines(replay.source(), delay=NO_DELAY)))
     expected = weather.daily(rows)
     # The last day stays open: its end is after the last reading.
     expected.pop(end_of(rows).date().isoformat())
@@ -120,7 +128,7 @@ def test_daily_means(replay):
 def test_moving_means(replay):
     rows = hourly(days=3)
     write_slices(replay.inbox, TOPIC, rows)
-    found = parsed_lines(replay.run(moving_mean_lines(replay.source())))
+    found = parsed_lines(replay.run(moving_mean_lines(replay.source(), delay=NO_DELAY)))
     last = weather.stamp(end_of(rows) - 3 * HOUR)
     expected = {start: m for start, m in weather.moving(rows).items() if start <= last}
     assert found == pytest.approx(expected, abs=1e-9)
@@ -130,7 +138,7 @@ def test_moving_means_from_streamed_panes(replay):
     """Two chained aggregations of a stream give what one gives."""
     rows = hourly(days=3)
     write_slices(replay.inbox, TOPIC, rows)
-    readings = timed_readings(replay.source())
+    readings = timed_readings(replay.source(), delay=NO_DELAY)
     means = sliding_combine(readings, EVENT_TIME, "temperature_c", keys=["topic"], prefold=True)
     line = moving_mean_line(F.col("window_start"), F.col("mean"))
     found = parsed_lines(replay.run(means.select("topic", line.alias("value"))))
@@ -157,7 +165,7 @@ def test_rain_runs(replay):
     # A wet end, then more than an hour of dry readings.
     rows = hourly(days=4)
     write_slices(replay.inbox, TOPIC, rows)
-    found = parsed_lines(replay.run(rain_run_lines(replay.source())))
+    found = parsed_lines(replay.run(rain_run_lines(replay.source(), delay=SESSION_DELAY)))
     closed = weather.stamp(end_of(rows) - SESSION_DELAY)
     expected = [(s, n) for s, n in weather.rain_runs(rows) if s <= closed]
     assert sorted((s, int(n)) for s, n in found.items()) == sorted(expected)
@@ -172,7 +180,7 @@ def test_dry_hours_move_the_watermark(replay):
     that of the last dry reading."""
     rows = [(START + h * HOUR, 1.0, 1.0 if h < 3 else 0.0) for h in range(30)]
     write_slices(replay.inbox, TOPIC, rows, size=6)
-    found = values(replay.run(rain_run_lines(replay.source())))
+    found = values(replay.run(rain_run_lines(replay.source(), delay=SESSION_DELAY)))
     assert found == ["rainStoppedAt:2022-01-01T03:00:00.000+09:00\trainContinued[h]:3"]
     # 2022-01-02T05:00+09:00, less the millisecond sessions wait for.
     assert replay.last_watermark() == "2022-01-01T19:59:59.999Z"
@@ -207,8 +215,13 @@ def test_filter_stays_above_the_watermark_of_a_column_without_nulls(spark, tmp_p
 def test_safe_filter_parses_once(spark, replay):
     write_slices(replay.inbox, TOPIC, hourly(days=1))
     base = message_lines(spark, replay.inbox, stream=False)
-    plan = rain_runs(timed_readings(base, delay=None))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 1
+    runs = rain_runs(timed_readings(base, delay=None))
+    query = runs._jdf.queryExecution()
+    query.executedPlan().executeCollect()
+    plan = query.executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan")]
+    # Both branches of the sessions read one shuffle, below which the text is parsed.
+    assert final.count("from_json") == 1 and "ReusedExchange" in final
 
 
 def test_late_rows_are_dropped_and_counted(replay):
@@ -216,13 +229,28 @@ def test_late_rows_are_dropped_and_counted(replay):
     write_slices(replay.inbox, TOPIC, rows)
     late = [(START + h * HOUR, 40.0, 0.0) for h in range(4)]
     write_slices(replay.inbox, TOPIC, late, first=900_000)
-    found = parsed_lines(replay.run(daily_mean_lines(replay.source())))
+    found = parsed_lines(replay.run(daily_mean_lines(replay.source(), delay=NO_DELAY)))
     expected = weather.daily(rows)
     expected.pop(end_of(rows).date().isoformat())
     assert found == pytest.approx(expected, abs=1e-9)
     assert replay.dropped() > 0
 
 
+def test_late_rows_are_reported(spark, replay, caplog):
+    rows = hourly(days=3)
+    write_slices(replay.inbox, TOPIC, rows)
+    write_slices(replay.inbox, TOPIC, [(START + h * HOUR, 40.0, 0.0) for h in range(4)], first=900_000)
+    lines = daily_mean_lines(replay.source(), delay=NO_DELAY)
+    query = start_file_sink(lines, replay.table, replay.checkpoint, available_now=True)
+    query.awaitTermination()
+    late = LateRows(query)
+    with caplog.at_level("WARNING"):
+        assert late.update() == late.update() == 1  # the rows of a window are combined first
+    assert caplog.text.count("late rows dropped") == 1
+    with pytest.raises(LateRowsError):
+        LateRows(query, fail=True).update()
+
+
 def test_delay_keeps_late_rows(replay):
     rows = hourly(days=3)
     late = (START + 5 * HOUR, 40.0, 0.0)
@@ -259,8 +287,8 @@ def test_slow_source_holds_the_joint_watermark_back(spark, tmp_path):
         replay.run(daily_means(build(sources)))
         return replay
 
-    per_source = run("per-source", watermark_per_source)
-    merged = run("merged", lambda s: with_watermark(s[0].unionByName(s[1])))
+    per_source = run("per-source", lambda s: watermark_per_source(s, NO_DELAY))
+    merged = run("merged", lambda s: with_watermark(s[0].unionByName(s[1]), NO_DELAY))
     assert per_source.dropped() == 0
     assert merged.dropped() > 0
 
@@ -268,10 +296,10 @@ def test_slow_source_holds_the_joint_watermark_back(spark, tmp_path):
 def test_restart_goes_on_where_it_stopped(replay):
     rows = hourly(days=6)
     write_slices(replay.inbox, TOPIC, rows[:70])
-    replay.run(daily_mean_lines(replay.source()))
+    replay.run(daily_mean_lines(replay.source(), delay=NO_DELAY))
     some = len(replay.results())
     write_slices(replay.inbox, TOPIC, rows[70:], first=500_000)
-    found = replay.run(daily_mean_lines(replay.source()))
+    found = replay.run(daily_mean_lines(replay.source(), delay=NO_DELAY))
     expected = weather.daily(rows)
     expected.pop(end_of(rows).date().isoformat())
     assert 0 < some < len(found) == len(expected)
@@ -281,9 +309,9 @@ def test_restart_goes_on_where_it_stopped(replay):
 def test_session_over_a_restart(replay):
     rows = [(START + h * HOUR, 1.0, 1.0 if h < 8 else 0.0) for h in range(14)]
     write_slices(replay.inbox, TOPIC, rows[:5])
-    assert replay.run(rain_run_lines(replay.source())) == []
+    assert replay.run(rain_run_lines(replay.source(), delay=SESSION_DELAY)) == []
     write_slices(replay.inbox, TOPIC, rows[5:], first=500_000)
-    found = values(replay.run(rain_run_lines(replay.source())))
+    found = values(replay.run(rain_run_lines(replay.source(), delay=SESSION_DELAY)))
     assert found == ["rainStoppedAt:2022-01-01T08:00:00.000+09:00\trainContinued[h]:8"]
 
 
@@ -292,7 +320,7 @@ def test_stations_are_apart(replay):
     other = [(START + h * HOUR, 1.0, 1.0 if h < 4 else 0.0) for h in range(6)]
     write_slices(replay.inbox, "weather-a", rows)
     write_slices(replay.inbox, "weather-b", other)
-    found = {(r["topic"], r["value"][-1]) for r in replay.run(rain_run_lines(replay.source(2)))}
+    found = {(r["topic"], r["value"][-1]) for r in replay.run(rain_run_lines(replay.source(2), delay=SESSION_DELAY))}
     assert found == {("weather-a", "2"), ("weather-b", "4")}
 
 
@@ -304,8 +332,8 @@ def test_malformed_record_stops_the_stream(replay):
 
 def test_record_without_time_stops_a_windowed_stream(replay):
     write_messages(replay.inbox, TOPIC, "0", ['{"temperature [°C]": 1}'])
-    with pytest.raises((StreamingQueryException, PySparkException), match="without timestamp"):
-        replay.run(daily_mean_lines(replay.source()))
+    with pytest.raises((StreamingQueryException, PySparkException), match="timestamp"):
+        replay.run(daily_mean_lines(replay.source(), delay=NO_DELAY))
 
 
 # --- panes ------------------------------------------------------------------------------
@@ -329,6 +357,32 @@ def test_panes_are_discarded_after_firing(spark, replay, tmp_path):
     assert [p["mean"] for p in panes] == pytest.approx([weather.mean(p) for p in parts], abs=1e-9)
 
 
+def test_timer_panes_close_after_their_delay_and_start_from_zero(spark, replay):
+    first, second = [(START, 1.0, 0.0), (START + HOUR, 3.0, 0.0)], [(START + 2 * HOUR, 10.0, 0.0)]
+    panes = timer_pane_means(temperatures(replay.source()), "reading", key="topic", delay=timedelta(seconds=3))
+    query = start_file_sink(panes, replay.table, replay.checkpoint, trigger="100 milliseconds")
+    try:
+        taken = []
+        for number, rows in enumerate((first, second)):
+            began = time.monotonic()
+            write_slices(replay.inbox, TOPIC, rows, first=100 * number)
+            while len(taken) == number:
+                assert query.exception() is None and time.monotonic() < began + 120
+                time.sleep(0.1)
+                with contextlib.suppress(Exception):  # no table yet
+                    taken = sorted((r["mean"], r["n"]) for r in replay.results())
+            assert time.monotonic() - began >= 3
+    finally:
+        query.stop()
+    assert taken == [(2.0, 2), (10.0, 1)]
+
+
+def test_record_without_time_stops_the_refreshing_mean(replay):
+    write_messages(replay.inbox, TOPIC, "0", ['{"temperature [°C]": 1}'])
+    with pytest.raises((StreamingQueryException, PySparkException), match="timestamp"):
+        replay.run(temperatures(replay.source()))
+
+
 def test_timer_panes_hold_every_row_once(spark, replay):
     rows = hourly(days=2)
     write_slices(replay.inbox, "weather-a", rows, size=16)

@@ -55,25 +55,49 @@ def expected_sessions(rows, gap):
 
 
 @pytest.mark.parametrize("gap", [timedelta(seconds=20), timedelta(minutes=7), HOUR, 30 * HOUR])
-@pytest.mark.parametrize("how", ["one level", "two levels", "built in"])
+@pytest.mark.parametrize("how", ["chunked", "one chunk", "built in"])
 def test_sessions(spark, monkeypatch, gap, how):
-    # Chunks of three cells, so that sessions cross many chunk edges.
-    monkeypatch.setattr(windows, "_LONG_SPAN", 9 * gap)
-    options = {
-        "one level": {"two_level": False},
-        "two levels": {"two_level": True},
-        "built in": {"prefold": False},
-    }[how]
+    # Chunks of three cells, so that sessions cross many chunk edges; or of all cells.
+    monkeypatch.setattr(windows, "_LONG_SPAN", (9 if how == "chunked" else 10**8) * gap)
+    options = {"prefold": False} if how == "built in" else {}
     rows = random_rows(seed=7)
     out = session_combine(frame(spark, rows), "t", "v", keys=["k"], gap=gap, **options)
     assert found_sessions(out) == expected_sessions(rows, gap)
 
 
-@pytest.mark.parametrize("two_level", [False, True])
-def test_session_gap_is_closed(spark, two_level):
+def test_only_edge_sessions_meet_again(spark, tmp_path):
+    rows = [(f"k{i % 3}", datetime(2022, 1, 1, tzinfo=UTC) + 3 * i * HOUR, 1.0) for i in range(6000)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/rows")
+    out = session_combine(spark.read.parquet(f"{tmp_path}/rows"), "t", "v", keys=["k"])
+    plan = out._jdf.queryExecution().executedPlan()
+    out.collect()
+    text = plan.toString()
+    # One scan and one fold into cells serve both branches, and the last exchange is
+    # above the filter that leaves the edges.
+    final = text[: text.index("== Initial Plan")]
+    assert "ReusedExchange" in final
+    assert "Filter _edge" in final or "Filter (isnotnull(_edge" in final
+
+
+def test_reserved_keys_are_refused(spark):
+    rows = frame(spark, random_rows(seed=1)).withColumnRenamed("k", "_n")
+    for combine in (tumbling_combine, sliding_combine, session_combine):
+        with pytest.raises(ValueError, match="_n"):
+            combine(rows, "t", "v", keys=["_n"])
+
+
+@pytest.mark.parametrize("hours", [1, 2, 15, 24, 72])
+def test_every_width_has_windows(spark, hours):
+    rows = random_rows(seed=2)
+    out = tumbling_combine(frame(spark, rows), "t", "v", width=hours * HOUR, combine=COUNT, name="n").collect()
+    assert sum(r["n"] for r in out) == len(rows)
+    assert all(r["window_end"] - r["window_start"] == hours * HOUR for r in out)
+
+
+def test_session_gap_is_closed(spark):
     start = datetime(2022, 1, 1, 0, 30, tzinfo=UTC)
     rows = [("a", start, 1.0), ("a", start + HOUR, 1.0), ("a", start + 2 * HOUR + MS, 1.0)]
-    out = session_combine(frame(spark, rows), "t", "v", keys=["k"], two_level=two_level)
+    out = session_combine(frame(spark, rows), "t", "v", keys=["k"])
     assert found_sessions(out) == [
         ("a", start, start + 2 * HOUR, 2),
         ("a", start + 2 * HOUR + MS, start + 3 * HOUR + MS, 1),
@@ -169,7 +193,11 @@ def test_hot_key_is_folded_before_the_shuffle(spark, small_sf):
     """Rows are combined into cells in the map tasks, then cells are exchanged."""
     events = spark.read.parquet(f"{small_sf}/events.parquet")
     out = session_combine(events, "ts", "value", keys=["event_type"])
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    lowest_exchange = plan.rindex("Exchange hashpartitioning")
-    assert "partial_count" in plan[lowest_exchange:]
-    assert plan.count("Exchange hashpartitioning") == 2
+    query = out._jdf.queryExecution()
+    query.executedPlan().executeCollect()
+    plan = query.executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan")]
+    lowest_exchange = final.rindex("Exchange hashpartitioning", 0, final.index("FileScan"))
+    assert "partial_count" in final[lowest_exchange:]
+    # Cells, chunks, edges: rows are read once.
+    assert final.count("FileScan") == 1

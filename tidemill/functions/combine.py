@@ -8,7 +8,7 @@ also combined inside the map tasks before its shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -34,6 +34,19 @@ class Combine:
         return self.finish({name: F.col(name) for name in self.parts})
 
 
+# Names the windowed operators use for themselves.
+RESERVED = frozenset(
+    "_sum _n _rows _w _t _us _reading _pane _cell _part _first _last _before _after _starts "
+    "_session _edge window_start window_end".split()
+)
+
+
+def refuse_reserved(keys: Sequence[str]) -> None:
+    clash = sorted(RESERVED.intersection(k.lower() for k in keys))
+    if clash:
+        raise ValueError(f"reserved names, rename these keys: {', '.join(clash)}")
+
+
 # NULL readings are ignored; a group of only NULLs has the mean NULL.
 MEAN = Combine(
     parts={"_sum": F.sum, "_n": F.count},

@@ -23,21 +23,22 @@ from tidemill.functions import (
 from tidemill.operators import (
     clean_observations,
     parse_weather,
+    passthrough,
     rejected,
     watermark_per_source,
 )
-from tidemill.operators.eventtime import MERGED_SOURCES_DELAY, NO_DELAY, SESSION_DELAY
+from tidemill.operators.eventtime import DEFAULT_DELAY, NO_DELAY, SESSION_DELAY
 from tidemill.plans import (
     daily_means,
     json_lines,
     moving_means,
     non_negative_lines,
-    passthrough_messages,
     rain_runs,
     refreshing_mean_lines,
     temperatures,
     timed_readings,
 )
+from tidemill.schema import FILE
 from tidemill.session import build_session
 from tidemill.sources import (
     KafkaSource,
@@ -47,15 +48,16 @@ from tidemill.sources import (
     read_weather_tsv,
     start_file_sink,
     start_kafka_sink,
+    to_topic_messages,
     to_value_messages,
     write_parquet,
     write_tsv,
 )
-from tidemill.streaming import start_pane_means, timer_pane_means
+from tidemill.streaming import LateRows, start_pane_means, timer_pane_means
 
 # Jobs without windows: messages -> rows.
 STATELESS = {
-    "passthrough": lambda messages, rules: passthrough_messages(messages),
+    "passthrough": lambda messages, rules: passthrough(messages),
     "json-lines": lambda messages, rules: json_lines(messages, **rules),
     "non-negative": lambda messages, rules: non_negative_lines(messages, **rules),
 }
@@ -100,11 +102,15 @@ def _parser() -> argparse.ArgumentParser:
         if name in WINDOWED:
             job.add_argument(
                 "--watermark", choices=("merged", "per-topic"), default="merged",
-                help="per-topic: the slowest topic holds the watermark back",
+                help="per-topic: the slowest topic holds the watermark back; one source for each "
+                "topic, so for tens of them, not thousands",
             )
             job.add_argument(
                 "--delay", type=float, metavar="SECONDS",
-                help="lateness allowed; default 0 for one topic, two hours for merged ones",
+                help="lateness allowed, two hours by default; 0 only for one ordered partition",
+            )
+            job.add_argument(
+                "--fail-on-late", action="store_true", help="stop when a late row is dropped"
             )
     clean = jobs.add_parser("clean", help="raw observation CSV -> hourly TSV")
     clean.add_argument("--in-path", nargs="+", required=True)
@@ -133,6 +139,10 @@ def _check(parser: argparse.ArgumentParser, args: argparse.Namespace) -> None:
         need(args.out_path, "--out-path", "a file sink")
     if getattr(args, "on_malformed", None) == "quarantine":
         need(args.quarantine_path, "--quarantine-path", "quarantine")
+        if args.source == "kafka" and args.starting_offsets == "latest":
+            # Good and bad records are two queries. Each would take its own "latest", and
+            # a record that comes in between would be in neither.
+            parser.error("quarantine needs --starting-offsets: earliest, or the offsets as JSON")
     if getattr(args, "panes", None) == "timer" and args.available_now:
         parser.error("panes closed by a timer have no end: leave out --available-now")
     if getattr(args, "watermark", None) == "per-topic":
@@ -157,9 +167,7 @@ def _delay(args: argparse.Namespace) -> timedelta:
     least = SESSION_DELAY if args.job == "rain-runs" else NO_DELAY
     if args.delay is not None:
         return max(least, timedelta(seconds=args.delay))
-    if args.watermark == "per-topic" or len(args.in_topic) == 1:
-        return least
-    return MERGED_SOURCES_DELAY
+    return DEFAULT_DELAY
 
 
 def _windowed(spark: SparkSession, args: argparse.Namespace, rules: dict) -> DataFrame:
@@ -171,12 +179,17 @@ def _windowed(spark: SparkSession, args: argparse.Namespace, rules: dict) -> Dat
     return windows(watermark_per_source(sources, _delay(args))).select("topic", line().alias("value"))
 
 
+def _records(args: argparse.Namespace, lines: DataFrame) -> DataFrame:
+    """One station needs no key; of several, each record names its own."""
+    return to_value_messages(lines) if len(args.in_topic) == 1 else to_topic_messages(lines)
+
+
 def _start_sink(args: argparse.Namespace, rows: DataFrame) -> StreamingQuery:
     how = {"trigger": args.trigger, "available_now": args.available_now}
     checkpoint = f"{args.checkpoint}/output"
     if args.sink == "files":
         return start_file_sink(rows, args.out_path, checkpoint, **how)
-    records = rows if args.job == "passthrough" else to_value_messages(rows)
+    records = rows if args.job == "passthrough" else _records(args, rows)
     return start_kafka_sink(records, args.bootstrap_servers, args.out_topic, checkpoint, **how)
 
 
@@ -190,7 +203,7 @@ def _start_refreshing(args: argparse.Namespace, readings: DataFrame) -> Streamin
         if args.sink == "files":
             lines.write.mode("overwrite").parquet(f"{args.out_path}/batch={number}")
         else:
-            to_value_messages(lines).write.format("kafka").option(
+            _records(args, lines).write.format("kafka").option(
                 "kafka.bootstrap.servers", args.bootstrap_servers
             ).option("topic", args.out_topic).save()
 
@@ -244,18 +257,21 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     spark = spark or build_session(f"tidemill {args.job}")
     if args.job == "clean":
         raw = read_raw_observations(spark, args.in_path, encoding=args.encoding)
-        write_tsv(clean_observations(raw), args.out_path)
+        write_tsv(clean_observations(raw, keep_file=True), args.out_path, folders=FILE)
     elif args.job == "load":
         write_parquet(read_weather_tsv(spark, args.in_path), args.out_path)
     else:
         # All queries of a job stand or fall together.
         queries = start(spark, args)
+        late = [LateRows(q, fail=getattr(args, "fail_on_late", False)) for q in queries]
         try:
-            if args.available_now:
-                for query in queries:
-                    query.awaitTermination()
-            else:
-                spark.streams.awaitAnyTermination()
+            # Without --available-now the first query to end, ends the job.
+            enough = all if args.available_now else any
+            while not enough([query.awaitTermination(1) for query in queries]):
+                for rows in late:
+                    rows.update()
+            for rows in late:
+                rows.update()
         finally:
             for query in queries:
                 query.stop()

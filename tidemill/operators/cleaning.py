@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions import local_datetime_text
-from tidemill.schema import LOCAL_OFFSET, READING_FIELDS
+from tidemill.schema import FILE, LOCAL_OFFSET, READING_FIELDS
 
-# How a data row begins, how its time is written, and how a file
-# names the days it covers (last day included).
-DATA_ROW = r"^\d{4}/\d{1,2}/\d{1,2} "
+# How a data row begins (no line above the data begins with a digit),
+# how its time is written, and how a file names the days it covers (last day included).
+DATA_ROW = r"^\s*\d"
 RAW_TIME = "yyyy/M/d H:mm:ss XXX"
 FILE_DAYS = r"^(\d{8})-(\d{8})"
 
@@ -24,12 +24,19 @@ def _named_day(file_name: Column, group: int) -> Column:
 
 
 def clean_observations(
-    raw: DataFrame, *, first_day: date | None = None, last_day: date | None = None
+    raw: DataFrame,
+    *,
+    first_day: date | None = None,
+    last_day: date | None = None,
+    keep_file: bool = False,
 ) -> DataFrame:
-    """Keep the data rows of the covered days, in three renamed text columns.
+    """Keep the data rows of the covered days, in three renamed text columns; with
+    ``keep_file`` also ``file``, the file's name without its suffix, which says the
+    station.
 
     Preamble, header and sub-header lines are told by their first column, not by
-    position, so a split of a large file needs no neighbour. The covered days
+    position, so a split of a large file needs no neighbour. A line that begins with
+    a digit is a data row: if its time cannot be read, the job fails. The covered days
     come from the file name (column ``file_name``) unless given. Readings stay
     text, as in the source; a missing one is NULL in its own column.
     """
@@ -49,4 +56,7 @@ def clean_observations(
     timed = rows.select("*", F.explode(F.array(instant)).alias("_instant"))
     kept = timed.filter((day >= first) & (day < end))
     values = (local_datetime_text(F.col("_instant")), F.col("c1"), F.col("c4"))
-    return kept.select(*[v.alias(name) for v, name in zip(values, READING_FIELDS, strict=True)])
+    named = [v.alias(name) for v, name in zip(values, READING_FIELDS, strict=True)]
+    if keep_file:
+        named.append(F.regexp_replace("file_name", r"\.[^.]*$", "").alias(FILE))
+    return kept.select(*named)

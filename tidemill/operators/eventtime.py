@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from tidemill.functions import interval_text, parse_instant
 from tidemill.schema import EVENT_TIME, TIMESTAMP
 
-# A single ordered source: nothing is out of order, so nothing is waited for.
+# Only for a single ordered partition, and only when asked for: nothing is out of
+# order, so nothing is waited for.
 NO_DELAY = timedelta(0)
-# Several partitions or topics read as one stream: the watermark follows the
-# fastest of them, so slower ones need an allowance to not count as late.
-MERGED_SOURCES_DELAY = timedelta(hours=2)
+# The watermark follows the fastest partition, and even one topic has several: the
+# slower ones need an allowance to not count as late.
+DEFAULT_DELAY = timedelta(hours=2)
 # Sessions close when the watermark has passed their end, not when it meets it.
 SESSION_DELAY = timedelta(milliseconds=1)
 
@@ -39,7 +40,7 @@ def with_event_time(
 
 
 def with_watermark(
-    df: DataFrame, delay: timedelta = NO_DELAY, name: str = EVENT_TIME
+    df: DataFrame, delay: timedelta = DEFAULT_DELAY, name: str = EVENT_TIME
 ) -> DataFrame:
     """Set the watermark to the greatest event time seen, minus ``delay``.
 
@@ -50,13 +51,13 @@ def with_watermark(
 
 
 def watermark_per_source(
-    sources: Sequence[DataFrame], delay: timedelta = NO_DELAY, name: str = EVENT_TIME
+    sources: Sequence[DataFrame], delay: timedelta = DEFAULT_DELAY, name: str = EVENT_TIME
 ) -> DataFrame:
     """One stream from several, each with a watermark of its own.
 
     Spark moves the joint watermark with the slowest source (its default policy,
     ``spark.sql.streaming.multipleWatermarkPolicy=min``), so a source that lags
-    loses no rows, and no delay has to be guessed.
+    behind others loses no rows. The delay makes up for the partitions inside one.
     """
     return reduce(DataFrame.unionByName, [with_watermark(s, delay, name) for s in sources])
 

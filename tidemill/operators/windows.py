@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import COUNT, MEAN, Combine, interval_text, micros
+from tidemill.functions.combine import refuse_reserved
 
 DAY = timedelta(days=1)
 HOUR = timedelta(hours=1)
 
-# Gaps shorter than this get a second, chunked merge; see session_combine.
-_SHORT_GAP = timedelta(minutes=1)
-# The time span that merge is laid out for. Longer ones are right as well.
+# The time span that the chunks of sessions are laid out for; see session_combine.
+# Longer ones are right as well.
 _LONG_SPAN = timedelta(days=3650)
 
 BOUNDS = ("window_start", "window_end")
@@ -48,7 +48,9 @@ def tumbling_combine(
     Rows are combined in the map tasks, so a task sends at most one row per key
     and window: a hot key or day costs no more than any other.
     """
-    window = F.window(time, interval_text(width), interval_text(width), interval_text(offset))
+    refuse_reserved(keys)
+    start = interval_text(offset % width)
+    window = F.window(time, interval_text(width), interval_text(width), start)
     folded = df.groupBy(*keys, window.alias("_w")).agg(*combine.fold(F.col(reading)))
     return folded.select(*keys, *_bounds("_w"), combine.result().alias(name))
 
@@ -74,9 +76,8 @@ def sliding_combine(
     choice: ``False`` for a batch with about one row per key and pane, ``True`` for
     a stream with many overlapping windows.
     """
-    window = F.window(
-        "_t", interval_text(width), interval_text(slide)
-    ).alias("_w")
+    refuse_reserved(keys)
+    window = F.window("_t", interval_text(width), interval_text(slide)).alias("_w")
     if prefold is None:
         prefold = not df.isStreaming
     if prefold:
@@ -113,7 +114,6 @@ def session_combine(
     name: str = "n",
     gap: timedelta = HOUR,
     prefold: bool = True,
-    two_level: bool | None = None,
 ) -> DataFrame:
     """Aggregate over sessions: runs of rows of one key, each at most ``gap`` after
     the one before. Rows exactly ``gap`` apart belong together. ``window_end`` is
@@ -124,28 +124,26 @@ def session_combine(
     cell of width ``gap`` are always in one session:
 
     1. fold rows into cells (key, time // gap), combined in the map tasks;
-    2. chain the cells of a key that are at most ``gap`` apart.
+    2. chain the cells of a (key, chunk of cells) that are at most ``gap`` apart;
+    3. chain the first and last session of each chunk by key. The others are done.
 
-    Step 2 handles at most (time span / gap) rows per key, however many rows a
-    hot key has: 88,000 for ten years and one hour. With a short gap that bound
-    grows, so then (or with ``two_level=True``) cells are first chained inside
-    (key, chunk of cells) and only the first and last session of each chunk are
-    brought together by key. Chunks are as long as there are many in ten years, so
-    either part sees about the square root of that bound.
+    A key has at most (time span / gap) cells, however many rows it has: 88,000 for
+    ten years and one hour. Chunks are as long as there are many in ten years, so
+    steps 2 and 3 see about the square root of that bound in one task, and what
+    step 3 shuffles is two sessions a chunk.
 
     ``prefold=False`` uses Spark's session windows in a batch, too: one shuffle
     instead of two, for data known to have many small keys and no large one.
     """
     if not keys:
         raise ValueError("sessions need at least one grouping key, such as the station")
+    refuse_reserved(keys)
     if df.isStreaming or not prefold:
         window = F.session_window(time, interval_text(gap)).alias("_w")
         folded = df.groupBy(*keys, window).agg(*combine.fold(F.col(reading)))
         return folded.select(*keys, *_bounds("_w"), combine.result().alias(name))
 
     gap_us = micros(gap)
-    if two_level is None:
-        two_level = gap < _SHORT_GAP
     time_type = dict(df.dtypes)[time]
     instant = F.unix_micros(F.col(time).cast("timestamp"))
     cells = (
@@ -155,16 +153,15 @@ def session_combine(
         .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
              *combine.fold(F.col("_reading")))
     )
-    if two_level:
-        chunk_us = gap_us * max(1, isqrt(micros(_LONG_SPAN) // gap_us))
-        chunked = cells.withColumn("_part", F.col("_cell") - F.pmod("_cell", F.lit(chunk_us)))
-        local = _chain(chunked, [*keys, "_part"], gap_us, combine)
-        # Sessions strictly inside a chunk cannot meet another one: they stay
-        # where they are. Those at either edge of it form one group per key.
-        regrouped = local.withColumn("_group", F.when(~F.col("_edge"), F.col("_part")))
-        sessions = _chain(regrouped, [*keys, "_group"], gap_us, combine)
-    else:
-        sessions = _chain(cells, list(keys), gap_us, combine)
+    chunk_us = gap_us * max(1, isqrt(micros(_LONG_SPAN) // gap_us))
+    chunked = cells.withColumn("_part", F.col("_cell") - F.pmod("_cell", F.lit(chunk_us)))
+    local = _chain(chunked, [*keys, "_part"], gap_us, combine)
+    # Sessions strictly inside a chunk cannot meet another one. Both branches read the
+    # same shuffle.
+    whole = ["_first", "_last", *combine.parts]
+    inner = local.filter(~F.col("_edge")).select(*keys, *whole)
+    outer = _chain(local.filter("_edge").drop("_part", "_edge"), list(keys), gap_us, combine)
+    sessions = inner.union(outer.select(*keys, *whole))
 
     def as_time(us: Column) -> Column:
         return F.timestamp_micros(us).cast(time_type)

@@ -5,7 +5,6 @@ from tidemill.plans.weather import (
     moving_mean_lines,
     moving_means,
     non_negative_lines,
-    passthrough_messages,
     rain_run_lines,
     rain_runs,
     refreshing_mean_lines,
@@ -20,7 +19,6 @@ __all__ = [
     "moving_mean_lines",
     "moving_means",
     "non_negative_lines",
-    "passthrough_messages",
     "rain_run_lines",
     "rain_runs",
     "refreshing_mean_lines",

@@ -50,24 +50,34 @@ from tidemill.operators import (
     watermark_per_source,
     with_watermark,
 )
-from tidemill.operators.eventtime import SESSION_DELAY
-from tidemill.plans.tables import event_messages, instant, table, table_stream
+from tidemill.operators.eventtime import NO_DELAY, SESSION_DELAY
+from tidemill.plans.tables import (
+    SLICES,
+    event_messages,
+    instant,
+    read_slices,
+    slice_of,
+    table,
+    table_stream,
+    write_slices,
+)
 from tidemill.plans.weather import (
     daily_means,
     json_lines,
     moving_means,
     non_negative_lines,
-    passthrough_messages,
     rain_runs,
     temperatures,
     timed_readings,
 )
-from tidemill.schema import RAINFALL, TEMPERATURE, TIMESTAMP
+from tidemill.schema import FILE, RAINFALL, TEMPERATURE, TIMESTAMP
 from tidemill.session import scratch_dir
 from tidemill.sources import (
+    read_raw_observations,
     read_weather_tsv,
     start_file_sink,
     to_keyed_messages,
+    to_topic_messages,
     to_value_messages,
     write_tsv,
 )
@@ -146,7 +156,7 @@ _READINGS = """
 @query(f"SELECT event_id AS key, {_MESSAGE} AS value FROM events")
 def passthrough_keyed(spark, sf_dir):
     """Key and value bytes through the identity job, decoded at the end only."""
-    out = passthrough_messages(event_messages(table(spark, sf_dir, "events")))
+    out = passthrough(event_messages(table(spark, sf_dir, "events")))
     return out.select(decode_long(F.col("key")).alias("key"), decode_text(F.col("value")).alias("value"))
 
 
@@ -179,6 +189,15 @@ def value_sink_layout(spark, sf_dir):
     return out.select(decode_text(F.col("value")).alias("value"))
 
 
+@query("SELECT 'weather-' || event_type AS topic, CAST(event_id AS VARCHAR) AS value FROM events")
+def topic_sink_layout(spark, sf_dir):
+    """Lines of several stations can be told apart by their keys."""
+    topic = F.concat(F.lit("weather-"), F.col("event_type"))
+    lines = table(spark, sf_dir, "events").select(topic.alias("topic"), F.col("event_id").cast("string").alias("value"))
+    out = to_topic_messages(lines)
+    return out.select(decode_text(F.col("key")).alias("topic"), decode_text(F.col("value")).alias("value"))
+
+
 # --- JSON records ------------------------------------------------------------------
 
 
@@ -617,7 +636,7 @@ def pane_mean_line(spark, sf_dir):
 
 
 def _message_stream(spark, sf_dir) -> DataFrame:
-    return event_messages(table_stream(spark, sf_dir, "events"))
+    return event_messages(table_stream(spark, sf_dir, "events", "ts"))
 
 
 @query(f"SELECT event_id AS key, {_MESSAGE} AS value FROM events")
@@ -639,8 +658,8 @@ def stream_temperature_lines(spark, sf_dir):
 _LAST = "(SELECT date_trunc('millisecond', max(ts)) FROM events)"
 
 
-def _timed_stream(spark, sf_dir, delay: timedelta = timedelta(0)) -> DataFrame:
-    events = table_stream(spark, sf_dir, "events").withColumn("ts", instant("ts"))
+def _timed_stream(spark, sf_dir, delay: timedelta = NO_DELAY) -> DataFrame:
+    events = table_stream(spark, sf_dir, "events", "ts").withColumn("ts", instant("ts"))
     return with_watermark(events, delay, "ts")
 
 
@@ -680,7 +699,7 @@ def stream_rain_run_job(spark, sf_dir):
 )
 def stream_daily_mean_job(spark, sf_dir):
     """The whole daily job on a stream: the last day stays open."""
-    means = daily_means(timed_readings(_message_stream(spark, sf_dir)))
+    means = daily_means(timed_readings(_message_stream(spark, sf_dir), delay=NO_DELAY))
     line = daily_mean_line(F.col("window_start"), rounded("mean"))
     return drain_to_table(spark, means.select("topic", line.alias("value")), "daily")
 
@@ -690,7 +709,7 @@ def stream_daily_mean_job(spark, sf_dir):
     HAVING date_trunc('hour', t) - k * INTERVAL 1 HOUR + INTERVAL 3 HOUR <= {_LAST}"""
 )
 def stream_moving_mean_job(spark, sf_dir):
-    means = moving_means(timed_readings(_message_stream(spark, sf_dir)))
+    means = moving_means(timed_readings(_message_stream(spark, sf_dir), delay=NO_DELAY))
     line = moving_mean_line(F.col("window_start"), rounded("mean"))
     return drain_to_table(spark, means.select("topic", line.alias("value")), "moving")
 
@@ -715,7 +734,7 @@ def stream_late_rows(spark, sf_dir):
                        ("first", rows.filter(F.col("ts") < middle))):
         part.write.parquet(f"{base}/in/{half}")
         arrived = spark.readStream.schema(rows.schema).parquet(f"{base}/in/*")
-        timed = with_watermark(arrived.withColumn("ts", instant("ts")), name="ts")
+        timed = with_watermark(arrived.withColumn("ts", instant("ts")), NO_DELAY, "ts")
         start_file_sink(
             _mean_and_count(tumbling_combine, timed), f"{base}/table", f"{base}/checkpoint",
             available_now=True,
@@ -723,6 +742,17 @@ def stream_late_rows(spark, sf_dir):
     return spark.read.parquet(f"{base}/table")
 
 
+@query(f"SELECT * FROM ({_DAILY}) WHERE s + INTERVAL 1 DAY <= {_LAST} - INTERVAL 6 DAY")
+def stream_skewed_partitions(spark, sf_dir):
+    """Rows of odd numbers come a slice of time after those of even ones, as from a slow
+    partition. A delay of a slice loses none of them: six days, as a slice is shorter."""
+    events = table(spark, sf_dir, "events").withColumn("ts", instant("ts"))
+    path = scratch_dir(spark, "skewed")
+    write_slices(events, slice_of(events, "ts") + F.col("event_id") % 2, path, SLICES + 1)
+    timed = with_watermark(read_slices(spark, path, events.schema), timedelta(days=6), "ts")
+    return drain_to_table(spark, _mean_and_count(tumbling_combine, timed), "skewed")
+
+
 @query(
     """
     WITH r AS (SELECT 'orders' AS source, o_orderdate AS ts FROM orders
@@ -737,34 +767,43 @@ def stream_late_rows(spark, sf_dir):
 def stream_joint_watermark(spark, sf_dir):
     """Two streams with a watermark each: a window closes when both have passed it."""
     sources = [
-        table_stream(spark, sf_dir, name).select(F.lit(name).alias("source"), instant(time).alias("ts"))
+        table_stream(spark, sf_dir, name, time).select(F.lit(name).alias("source"), instant(time).alias("ts"))
         for name, time in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
     ]
-    both = watermark_per_source(sources, name="ts")
+    both = watermark_per_source(sources, NO_DELAY, "ts")
     counts = tumbling_combine(both, "ts", "source", combine=COUNT, name="n", keys=["source"])
     return drain_to_table(spark, counts.select("source", ntz("window_start").alias("s"), "n"), "joint")
 
 
-@query(f"SELECT event_type, {mean_sql('value')} AS m, count(*) AS n FROM events GROUP BY 1")
+_SLICE = f"""(epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * {SLICES}
+    // (SELECT max(epoch_us(ts)) - min(epoch_us(ts)) + 1 FROM events)"""
+
+
+@query(
+    f"""SELECT {_SLICE} AS pane, event_type, {mean_sql('value')} AS m, count(*) AS n
+    FROM events GROUP BY 1, 2"""
+)
 def stream_pane_means(spark, sf_dir):
-    """Panes of micro-batches, brought together again: the count-weighted mean of
-    all panes is the mean of all rows, however the stream was cut."""
+    """One pane for each micro-batch, a micro-batch for each slice of time. A pane that
+    kept the rows of those before would have another mean."""
     base = scratch_dir(spark, "panes")
 
     def write(means: DataFrame, number: int) -> None:
         means.write.mode("overwrite").parquet(f"{base}/table/batch={number}")
 
     start_pane_means(
-        table_stream(spark, sf_dir, "events"), "value", write, f"{base}/checkpoint",
+        table_stream(spark, sf_dir, "events", "ts"), "value", write, f"{base}/checkpoint",
         keys=("event_type",), available_now=True,
     ).awaitTermination()
-    return _joined_panes(spark.read.parquet(f"{base}/table"), "event_type")
+    panes = spark.read.parquet(f"{base}/table")
+    return panes.select(F.col("batch").cast("long").alias("pane"), "event_type", rounded("mean").alias("m"), "n")
 
 
 @query(f"SELECT event_type, {mean_sql('value')} AS m, count(*) AS n FROM events GROUP BY 1")
 def stream_timer_pane_means(spark, sf_dir):
-    """As above, with panes closed by a timer of each key."""
-    panes = timer_pane_means(table_stream(spark, sf_dir, "events"), "value", key="event_type")
+    """Panes closed by a timer of each key, brought together again: the count-weighted
+    mean of all panes is the mean of all rows, wherever the timers cut."""
+    panes = timer_pane_means(table_stream(spark, sf_dir, "events", "ts"), "value", key="event_type")
     stored = drain_timers_to_table(spark, panes, "timer-panes")
     return _joined_panes(stored.withColumnRenamed("pane_key", "event_type"), "event_type")
 
@@ -807,13 +846,14 @@ def clean_raw(spark, sf_dir):
     """
 )
 def tsv_roundtrip(spark, sf_dir):
-    """Write the table as TSV with a header, and read it as an hourly table."""
-    path = scratch_dir(spark, "tsv")
+    """Write the table as TSV with a header, columns in another order, and read it as an
+    hourly table."""
+    path = scratch_dir(spark, "tsv") + "/20240101-20240131-osaka"
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
     rows = table(spark, sf_dir, "events").select(
         F.concat(stamp, F.lit("+09:00")).alias("timestamp"),
-        F.col("value").alias("temperature [°C]"),
         F.get_json_object("props", "$.k").alias("rainfall [mm]"),
+        F.col("value").alias("temperature [°C]"),
     )
     write_tsv(rows, path)
     return read_weather_tsv(spark, path).select(TIMESTAMP, TEMPERATURE, "local_time")
@@ -839,12 +879,50 @@ def labelled_files(spark, sf_dir):
     SELECT 'Summer' AS season, event_id, value FROM events WHERE event_type IN ('click', 'view')
     UNION ALL
     SELECT 'Winter', event_id, value FROM events WHERE event_type IN ('signup', 'purchase')
+    UNION ALL
+    SELECT 'Autumn', event_id, value FROM events
+    WHERE event_type NOT IN ('click', 'view', 'signup', 'purchase') OR event_type IS NULL
     """
 )
 def labelled_union(spark, sf_dir):
     """A labelled set of selections, from one scan."""
-    season = F.when(F.col("event_type").isin("click", "view"), "Summer").when(
-        F.col("event_type").isin("signup", "purchase"), "Winter"
+    season = (
+        F.when(F.col("event_type").isin("click", "view"), "Summer")
+        .when(F.col("event_type").isin("signup", "purchase"), "Winter")
+        .otherwise("Autumn")
+    )
+    return table(spark, sf_dir, "events").select(season.alias("season"), "event_id", "value")
+
+
+@query(
+    """
+    SELECT CASE WHEN o_custkey % 2 = 0 THEN 'Sapporo' ELSE 'Naha' END AS station,
+           CASE WHEN o_custkey % 2 = 0 THEN 'Winter' ELSE 'Summer' END AS season,
+           strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') || '+09:00' AS "timestamp",
+           CAST(o_orderkey % 1000 AS FLOAT) AS temperature_c, CAST(o_custkey % 50 AS FLOAT) AS rainfall_mm
+    FROM orders
+    WHERE CASE WHEN o_custkey % 2 = 0 THEN o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'
+               ELSE o_orderdate >= TIMESTAMP '1996-07-01' AND o_orderdate < TIMESTAMP '1998-01-01' END
+    """
+)
+def clean_then_load(spark, sf_dir):
+    """Orders written as raw files of two stations, with the lines above the data and rows
+    of other days; read, cleaned by the days in the names, written, and loaded."""
+    base = scratch_dir(spark, "clean")
+    day = F.date_format("o_orderdate", "yyyy/M/d H:mm:ss")
+    reading = F.format_string("%s,%d,8,1,%d,1,8,1", day, F.col("o_orderkey") % 1000, F.col("o_custkey") % 50)
+    names = {0: "19960101-19961231-sapporo", 1: "19960701-19971231-naha"}
+    orders = table(spark, sf_dir, "orders")
+    for turn, name in names.items():
+        rows = orders.filter(F.col("o_custkey") % 2 == turn).select(reading.alias("value"))
+        above = ["downloaded: 2023/10/01 12:00:00", "", ",x,x,x,x,x,x,x", "time,a,a,a,b,b,b,b", ",,q,h,,n,q,h"]
+        rows = spark.createDataFrame([(x,) for x in above], "value string").union(rows)
+        rows.write.option("lineSep", "\r\n").text(f"{base}/raw/{name}")
+    # The name is the folder's here, as Spark names the files below it.
+    folder = F.element_at(F.split("_path", "/"), -2)
+    raw = read_raw_observations(spark, [f"{base}/raw/{n}" for n in names.values()], path="_path")
+    raw = raw.withColumn("file_name", folder)
+    write_tsv(clean_observations(raw, keep_file=True), f"{base}/tidy", folders=FILE)
+    return read_weather_tsv(spark, f"{base}/tidy").select(
+        "station", "season", TIMESTAMP, TEMPERATURE, RAINFALL
     )
-    events = table(spark, sf_dir, "events").select(season.alias("season"), "event_id", "value")
-    return events.filter(F.col("season").isNotNull())

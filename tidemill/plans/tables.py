@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.schema import RAINFALL_FIELD, TEMPERATURE_FIELD, TIMESTAMP_FIELD
-from tidemill.session import configure
-from tidemill.sources import stream_parquet
+from tidemill.session import configure, scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,12 +15,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream. Everything present is one micro-batch, so the result
-    does not depend on the order of files, and windows close after it."""
-    path = f"{sf_dir}/{name}.parquet"
-    configure(spark)
-    return stream_parquet(spark, path, spark.read.parquet(path).schema)
+SLICES, SLICE_FILES = 6, 2
+
+
+def slice_of(df: DataFrame, time: str, slices: int = SLICES) -> Column:
+    """Which of so many equally long slices of time a row lies in, from 0."""
+    us = F.unix_micros(F.col(time).cast("timestamp"))
+    low, high = df.agg(F.min(us), F.max(us)).first()
+    low, high = low or 0, high or 0
+    return F.expr(f"({low} * -1L + unix_micros(cast({time} as timestamp))) * {slices} div {high - low + 1}")
+
+
+def write_slices(df: DataFrame, slices: Column, path: str, n: int = SLICES) -> None:
+    """Every slice after the one before, each in as many files, so that a stream of so
+    many files a micro-batch replays them in order."""
+    sliced = df.withColumn("_slice", slices)
+    for i in range(n):
+        part = sliced.filter(F.col("_slice") == i).drop("_slice")
+        part.repartition(SLICE_FILES).write.parquet(f"{path}/{i}")
+
+
+def read_slices(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", SLICE_FILES)
+        .parquet(f"{path}/*")
+    )
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str, time: str) -> DataFrame:
+    """A whole table as a stream: slices of time, one for each micro-batch."""
+    rows, path = table(spark, sf_dir, name), scratch_dir(spark, f"slices-{name}")
+    write_slices(rows, slice_of(rows, time), path)
+    return read_slices(spark, path, rows.schema)
 
 
 def instant(column: str) -> Column:

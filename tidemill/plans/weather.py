@@ -27,7 +27,6 @@ from tidemill.operators import (
     keep_above,
     keep_at_least,
     parse_weather,
-    passthrough,
     project,
     session_combine,
     sliding_combine,
@@ -35,7 +34,7 @@ from tidemill.operators import (
     with_event_time,
     with_watermark,
 )
-from tidemill.operators.eventtime import NO_DELAY, SESSION_DELAY
+from tidemill.operators.eventtime import DEFAULT_DELAY
 from tidemill.schema import EVENT_TIME, RAINFALL, TEMPERATURE, TIMESTAMP
 
 STATION_KEY = "topic"
@@ -44,12 +43,7 @@ STATION_KEY = "topic"
 def _parsed(messages: DataFrame, rules: dict, *, timed: bool = False) -> DataFrame:
     if rules.get("on_malformed") == "quarantine":
         return accepted(parse_weather(messages, timed=timed, **rules))
-    return parse_weather(messages, **rules)
-
-
-def passthrough_messages(messages: DataFrame) -> DataFrame:
-    """Copy key and value."""
-    return passthrough(messages)
+    return parse_weather(messages, timed=timed, **rules)
 
 
 def json_lines(messages: DataFrame, **rules) -> DataFrame:
@@ -68,7 +62,7 @@ def non_negative_lines(messages: DataFrame, **rules) -> DataFrame:
 
 
 def timed_readings(
-    messages: DataFrame, *, delay: timedelta | None = NO_DELAY, **rules
+    messages: DataFrame, *, delay: timedelta | None = DEFAULT_DELAY, **rules
 ) -> DataFrame:
     """Parse, take the event time, and set the watermark before anything is
     filtered. ``delay=None`` leaves the watermark to the caller."""
@@ -82,7 +76,7 @@ def daily_means(readings: DataFrame) -> DataFrame:
     return tumbling_combine(temperature, EVENT_TIME, "reading", keys=[STATION_KEY])
 
 
-def daily_mean_lines(messages: DataFrame, *, delay: timedelta = NO_DELAY, **rules) -> DataFrame:
+def daily_mean_lines(messages: DataFrame, *, delay: timedelta = DEFAULT_DELAY, **rules) -> DataFrame:
     means = daily_means(timed_readings(messages, delay=delay, **rules))
     line = daily_mean_line(F.col("window_start"), F.col("mean"))
     return means.select(STATION_KEY, line.alias("value"))
@@ -94,7 +88,7 @@ def moving_means(readings: DataFrame) -> DataFrame:
     return sliding_combine(temperature, EVENT_TIME, "reading", keys=[STATION_KEY])
 
 
-def moving_mean_lines(messages: DataFrame, *, delay: timedelta = NO_DELAY, **rules) -> DataFrame:
+def moving_mean_lines(messages: DataFrame, *, delay: timedelta = DEFAULT_DELAY, **rules) -> DataFrame:
     means = moving_means(timed_readings(messages, delay=delay, **rules))
     line = moving_mean_line(F.col("window_start"), F.col("mean"))
     return means.select(STATION_KEY, line.alias("value"))
@@ -108,7 +102,7 @@ def rain_runs(readings: DataFrame) -> DataFrame:
 
 
 def rain_run_lines(
-    messages: DataFrame, *, delay: timedelta = SESSION_DELAY, **rules
+    messages: DataFrame, *, delay: timedelta = DEFAULT_DELAY, **rules
 ) -> DataFrame:
     runs = rain_runs(timed_readings(messages, delay=delay, **rules))
     line = rain_run_line(F.col("window_end"), F.col("hours"))
@@ -116,8 +110,12 @@ def rain_run_lines(
 
 
 def temperatures(messages: DataFrame, **rules) -> DataFrame:
-    """The input of the refreshing mean: temperatures, without event time."""
-    return extract(_parsed(messages, rules), TEMPERATURE, STATION_KEY)
+    """The input of the refreshing mean. It needs no event time, but a record whose
+    timestamp cannot be read is as wrong here as anywhere."""
+    timed = with_event_time(_parsed(messages, rules, timed=True))
+    # True for every time: without a use of it, the check would be left out.
+    checked = timed.filter(F.unix_micros(EVENT_TIME) >= F.lit(-(2**63)))
+    return extract(checked, TEMPERATURE, STATION_KEY)
 
 
 def refreshing_mean_lines(pane_means: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ RAINFALL = "rainfall_mm"
 EVENT_TIME = "event_time"
 STATION = "station"
 SEASON = "season"
+FILE = "file"
 
 # Readings are 32-bit floats: a mean is taken over float values widened to
 # double, so -8.2 contributes -8.199999809...

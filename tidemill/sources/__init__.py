@@ -1,7 +1,6 @@
 from tidemill.sources.files import (
     as_messages,
     message_lines,
-    read_parquet,
     read_weather_tsv,
     stream_parquet,
     with_file_labels,
@@ -13,6 +12,7 @@ from tidemill.sources.sinks import (
     start_kafka_sink,
     start_query,
     to_keyed_messages,
+    to_topic_messages,
     to_value_messages,
     write_parquet,
     write_tsv,
@@ -23,7 +23,6 @@ __all__ = [
     "as_messages",
     "message_lines",
     "read_kafka",
-    "read_parquet",
     "read_raw_observations",
     "read_weather_tsv",
     "start_file_sink",
@@ -31,6 +30,7 @@ __all__ = [
     "start_query",
     "stream_parquet",
     "to_keyed_messages",
+    "to_topic_messages",
     "to_value_messages",
     "with_file_labels",
     "write_parquet",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,9 +12,11 @@ from pyspark.sql import types as T
 from tidemill.functions import parse_instant
 from tidemill.schema import (
     EVENT_TIME,
+    FILE,
     LOCAL_OFFSET,
     RAINFALL,
     RAINFALL_FIELD,
+    READING_FIELDS,
     READING_SCHEMA,
     SEASON,
     STATION,
@@ -25,20 +28,23 @@ from tidemill.schema import (
 )
 
 # Files are named <first day>-<last day>-<station>.tsv, and a season
-# is told by the month of the first day.
-_NAME = r"(\d{4})(\d{2})\d{2}-\d{8}-([^./]+)\."
+# is told by the month of the first day. Cleaned files lie in folders of that name.
+_NAME = r"(?:^|[/=])\d{4}(\d{2})\d{2}-\d{8}-([^./=]+)(?=[./]|$)"
 _SEASONS = ("Winter", "Spring", "Summer", "Autumn")
 
 
 def with_file_labels(df: DataFrame, file_name: Column) -> DataFrame:
-    """Label rows with the station and season their file is named for."""
-    month = F.regexp_extract(file_name, _NAME, 2).try_cast("int")
+    """Label rows with the station and season their file, or a folder above it, is named
+    for. A name or path that says neither fails the job."""
+    name = F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
+    unnamed = F.raise_error(F.concat(F.lit("no station in file name: "), file_name)).cast("int")
+    month = F.coalesce(F.regexp_extract(name, _NAME, 1).try_cast("int"), unnamed)
     # Winter starts in December: 12, 1, 2 -> 0; 3, 4, 5 -> 1; ...
     season = F.element_at(
         F.array(*[F.lit(s) for s in _SEASONS]), ((month % 12) / 3).cast("int") + 1
     )
     return df.withColumns(
-        {STATION: F.initcap(F.regexp_extract(file_name, _NAME, 3)), SEASON: season}
+        {STATION: F.initcap(F.regexp_extract(name, _NAME, 2)), SEASON: season}
     )
 
 
@@ -48,15 +54,24 @@ def read_weather_tsv(
     """Read any number of hourly TSV files (paths, folders or globs) as one labelled
     table. ``event_time`` is the true instant, ``local_time`` the wall-clock time.
 
+    Columns are bound by the header: a batch takes the order of the first file, a
+    stream that of the format, and a file with another header fails the job.
+
     A stream takes one path: a folder or a glob.
     """
+    layout = {"sep": "\t", "header": True, "mode": "FAILFAST", "enforceSchema": False}
+    types = dict(zip(READING_FIELDS, [f.dataType for f in READING_SCHEMA], strict=True))
+    order = list(READING_FIELDS)
+    if not stream:
+        order = [c for c in spark.read.options(**layout).csv(paths).columns if c != FILE]
+        if sorted(order) != sorted(READING_FIELDS):
+            raise ValueError(f"columns {order} are not {list(READING_FIELDS)}: {paths}")
+    schema = T.StructType([T.StructField(c, types[c]) for c in order])
     reader = spark.readStream if stream else spark.read
-    rows = (
-        reader.schema(READING_SCHEMA)
-        .option("sep", "\t")
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .csv(paths)
+    found = reader.schema(schema).options(**layout).csv(paths)
+    rows = found.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(READING_FIELDS, READING_SCHEMA.names, strict=True)],
+        F.col("_metadata.file_path").alias("_path"),
     )
     instant = parse_instant(F.col(TIMESTAMP))
     timed = rows.withColumns(
@@ -65,7 +80,7 @@ def read_weather_tsv(
             "local_time": F.from_utc_timestamp(instant, LOCAL_OFFSET).cast("timestamp_ntz"),
         }
     )
-    return with_file_labels(timed, F.col("_metadata.file_name"))
+    return with_file_labels(timed, F.col("_path")).drop("_path")
 
 
 def as_messages(readings: DataFrame) -> DataFrame:
@@ -102,16 +117,15 @@ def message_lines(spark: SparkSession, path: str, *, stream: bool = True, **opti
     )
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def stream_parquet(
     spark: SparkSession, path: str, schema: T.StructType, **options
 ) -> DataFrame:
     """Read a Parquet table (a file or a folder) as a stream. Give
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` to bound a micro-batch."""
+    # Streams take paths for patterns, and their micro-batches do so once more.
+    if re.search(r"[\\\[\]{}*?]", path):
+        raise ValueError(f"a stream would take this path for a pattern: {path}")
     # A stream takes a single file only through a pattern that matches it.
-    head, _, last = path.rstrip("/").rpartition("/")
-    pattern = f"{head}/{last[:-1]}[{last[-1]}]"
+    path = path.rstrip("/")
+    pattern = f"{path[:-1]}[{path[-1]}]"
     return spark.readStream.schema(schema).options(**options).parquet(pattern)

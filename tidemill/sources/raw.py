@@ -11,10 +11,15 @@ from tidemill.schema import RAW_COLUMNS, RAW_SCHEMA
 
 
 def read_raw_observations(
-    spark: SparkSession, paths: str | Sequence[str], *, encoding: str = "ISO-8859-1"
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    encoding: str = "ISO-8859-1",
+    path: str | None = None,
 ) -> DataFrame:
     """All lines of the files as eight text columns ``c0`` .. ``c7`` and
-    ``file_name``. Lines with fewer fields are filled up with NULL.
+    ``file_name``, and the whole path in a column named ``path``, if given. Lines with
+    fewer fields are filled up with NULL.
 
     The files are Shift-JIS with CRLF, but only their header lines hold more than
     ASCII, and no byte of a Shift-JIS character looks like a comma or a line end.
@@ -30,4 +35,5 @@ def read_raw_observations(
         .option("mode", "PERMISSIVE")
         .csv(paths)
     )
-    return lines.select(*RAW_COLUMNS, F.col("_metadata.file_name").alias("file_name"))
+    whole = [F.col("_metadata.file_path").alias(path)] if path else []
+    return lines.select(*RAW_COLUMNS, F.col("_metadata.file_name").alias("file_name"), *whole)

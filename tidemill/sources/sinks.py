@@ -28,6 +28,11 @@ def to_value_messages(df: DataFrame, value: str = "value") -> DataFrame:
     return df.select(F.col(value).cast("binary").alias("value"))
 
 
+def to_topic_messages(df: DataFrame) -> DataFrame:
+    """Lines of several stations as Kafka records that name theirs in the key."""
+    return to_keyed_messages(df, "topic", "value")
+
+
 def start_query(
     writer: DataStreamWriter, *, trigger: str | None = None, available_now: bool = False
 ) -> StreamingQuery:
@@ -80,9 +85,13 @@ def start_file_sink(
     return start_query(writer, trigger=trigger, available_now=available_now)
 
 
-def write_tsv(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
-    """Write tab-separated text with a header line per file."""
-    df.write.mode(mode).option("sep", "\t").option("header", True).csv(path)
+def write_tsv(
+    df: DataFrame, path: str, *, mode: str = "errorifexists", folders: str | None = None
+) -> None:
+    """Write tab-separated text with a header line per file, with a folder for each
+    value of the column ``folders``."""
+    writer = df.write.mode(mode).option("sep", "\t").option("header", True)
+    (writer.partitionBy(folders) if folders else writer).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:

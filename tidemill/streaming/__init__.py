@@ -1,4 +1,12 @@
+from tidemill.streaming.late import LateRows, LateRowsError
 from tidemill.streaming.panes import start_pane_means, timer_pane_means
 from tidemill.streaming.run import drain_timers_to_table, drain_to_table
 
-__all__ = ["drain_timers_to_table", "drain_to_table", "start_pane_means", "timer_pane_means"]
+__all__ = [
+    "LateRows",
+    "LateRowsError",
+    "drain_timers_to_table",
+    "drain_to_table",
+    "start_pane_means",
+    "timer_pane_means",
+]

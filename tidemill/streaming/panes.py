@@ -112,7 +112,8 @@ def timer_pane_means(
 
     Each map task folds its rows to one row per key and Arrow batch, so that a hot
     key shuffles sums and not rows. Columns: ``pane_key``, ``mean``, ``n``. Needs
-    the RocksDB state store.
+    the RocksDB state store. State is kept by a Python call for each key and
+    micro-batch: made for stations, not for millions of keys.
     """
     rows = df.select(
         F.col(key).cast("string").alias("pane_key"), F.col(reading).cast("double").alias("reading")

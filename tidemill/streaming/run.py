@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -22,20 +21,18 @@ def drain_to_table(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFr
 
 
 def drain_timers_to_table(
-    spark: SparkSession, rows: DataFrame, purpose: str, *, timeout: timedelta = timedelta(minutes=10)
+    spark: SparkSession, rows: DataFrame, purpose: str
 ) -> DataFrame:
     """Like :func:`drain_to_table`, for a query with processing-time timers. Such a
     query never counts as finished, so it is stopped once a micro-batch has found
-    no input and no state is left."""
+    no input and no state is left, however long that takes; it gives up only if the
+    query fails."""
     base = scratch_dir(spark, purpose)
     query = start_file_sink(rows, f"{base}/table", f"{base}/checkpoint", trigger="500 milliseconds")
-    give_up = time.monotonic() + timeout.total_seconds()
     try:
         while not _is_idle(query):
             if query.exception() is not None:
                 raise query.exception()
-            if time.monotonic() > give_up:
-                raise TimeoutError(f"{purpose}: panes still open after {timeout}")
             time.sleep(0.2)
     finally:
         query.stop()
