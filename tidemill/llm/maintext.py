@@ -213,10 +213,14 @@ def learn(pages: list[Page]) -> dict[str, float]:
 
 
 def train(pages: DataFrame, key: str = "page_id", html: str = "html") -> dict[str, float]:
-    """Weights from at most ``SAMPLE`` pages with an article element, those with the
-    smallest key hashes; none if there are no such pages."""
-    marked = pages.where(F.lower(html).contains("<article")).orderBy(F.xxhash64(key), key).limit(SAMPLE)
-    return learn([Page(row[0]) for row in marked.select(html).collect()])
+    """Weights from the pages of at most ``SAMPLE`` keys with an article element, those with
+    the smallest hashes (twice as many pages at most if keys repeat); none if there are
+    no such pages. Rows with a null key are not learnt from."""
+    marked = pages.where(F.lower(html).contains("<article") & F.col(key).isNotNull())
+    # The keys first: no task sends whole pages that are not chosen.
+    chosen = marked.select(F.col(key).alias("_chosen")).orderBy(F.xxhash64("_chosen"), "_chosen").limit(SAMPLE)
+    rows = marked.join(F.broadcast(chosen.distinct()), F.col(key) == F.col("_chosen")).select(html)
+    return learn([Page(row[0]) for row in rows.limit(2 * SAMPLE).collect()])
 
 
 def extract_main_text(
