@@ -732,8 +732,8 @@ def stream_late_rows(spark, sf_dir):
     middle = F.to_timestamp_ntz(F.lit("2024-01-16 00:00:00"))
     for half, part in (("second", rows.filter(F.col("ts") >= middle)),
                        ("first", rows.filter(F.col("ts") < middle))):
-        part.write.parquet(f"{base}/in/{half}")
-        arrived = spark.readStream.schema(rows.schema).parquet(f"{base}/in/*")
+        write_slices(part, slice_of(part, "ts", 3), f"{base}/in/{half}", 3)
+        arrived = read_slices(spark, f"{base}/in/*", rows.schema)
         timed = with_watermark(arrived.withColumn("ts", instant("ts")), NO_DELAY, "ts")
         start_file_sink(
             _mean_and_count(tumbling_combine, timed), f"{base}/table", f"{base}/checkpoint",
