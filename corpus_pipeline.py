@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.bpe import decode_bpe, encode_bpe
+from tidemill.llm.bpe import encode_bpe
 from tidemill.llm.common import saved, table
 from tidemill.llm.lines import dedup_lines
 from tidemill.llm.mixing import mix_sources, take_copies
@@ -52,8 +52,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, their number, and the text they decode to."""
-    encoded = encode_bpe(docs.select("doc_id", "lang", "source", "text"), VOCABULARY).drop("text")
-    return decode_bpe(encoded, VOCABULARY).withColumn("n_tokens", F.size("ids").cast("long"))
+    encoded = encode_bpe(docs.select("doc_id", "lang", "source", "text"), VOCABULARY, decoded="decoded")
+    return encoded.drop("text").withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

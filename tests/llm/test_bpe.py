@@ -58,6 +58,13 @@ def test_odd_rows(spark, library):
         assert r.ids == ids and r.decoded == library.decode(ids, skip_special_tokens=False)
 
 
+def test_decoding_in_the_same_pass(spark):
+    df = documents(spark, odd_rows())
+    one = encode_bpe(df, PATH, decoded="key").select("doc_id", "ids", "key")
+    two = decode_bpe(encode_bpe(df, PATH), PATH, text="key").select("doc_id", "ids", "key")
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+
 def test_odd_ids(spark):
     rows = [(1, [0, None, -5, 10**9]), (2, None), (3, [])]
     got = decode_bpe(spark.createDataFrame(rows, "doc_id long, ids array<int>"), PATH).collect()

@@ -26,7 +26,8 @@ from tidemill.llm.common import append, ragged, schema_with, texts_of
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORD = f"'s|'t|'re|'ve|'m|'ll|'d|[\\p{{L}}]+|[\\p{{N}}]|[^{SPACE}\\p{{L}}\\p{{N}}]+"
 
-CACHED_PIECES = 300_000
+CACHED_PIECES = 150_000
+ENCODED_ROWS = 500
 _NO_RANK = np.iinfo(np.int32).max
 
 
@@ -173,8 +174,15 @@ class Encoder:
         return np.concatenate(parts) if parts else np.zeros(0, np.int32), sizes
 
 
-def encode_bpe(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the token ids of ``text`` as array<int>.
+def _joined(tokens: np.ndarray, ids: np.ndarray) -> str:
+    return " ".join(tokens[ids[(ids >= 0) & (ids < len(tokens))]].tolist())
+
+
+def encode_bpe(
+    df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """``df`` with the token ids of ``text`` as array<int>, and if ``decoded`` names a
+    column, with what :func:`decode_bpe` makes of them, in the same Python process.
 
     Null and empty texts have an empty array. A column already named as ``ids``
     is replaced; all others pass. The vocabulary file is read on the driver and
@@ -183,13 +191,21 @@ def encode_bpe(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
-        for batch in batches:
-            values, sizes = encoder.batch(texts_of(batch.column(text)))
-            offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
-            yield append(batch, **{ids: pa.ListArray.from_arrays(offsets, pa.array(values))})
-
-    return df.mapInArrow(encode, schema_with(df, (ids, T.ArrayType(T.IntegerType()))))
+        encoder, tokens = Encoder(shared.value), np.array(shared.value.tokens, object)
+        for whole in batches:
+            for at in range(0, len(whole), ENCODED_ROWS):
+                batch = whole.slice(at, ENCODED_ROWS)
+                values, sizes = encoder.batch(texts_of(batch.column(text)))
+                ends = np.r_[0, np.cumsum(sizes)]
+                offsets = pa.array(ends.astype(np.int32))
+                new = {ids: pa.ListArray.from_arrays(offsets, pa.array(values))}
+                if decoded:
+                    texts = [_joined(tokens, values[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+                    new[decoded] = pa.array(texts, pa.string())
+                yield append(batch, **new)
+
+    added = [(ids, T.ArrayType(T.IntegerType()))] + ([(decoded, T.StringType())] if decoded else [])
+    return df.mapInArrow(encode, schema_with(df, *added))
 
 
 def decode_bpe(df: DataFrame, vocabulary_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -206,11 +222,7 @@ def decode_bpe(df: DataFrame, vocabulary_path: str, ids: str = "ids", text: str
             column = batch.column(ids)
             flat = column.flatten().fill_null(-1).to_numpy()
             ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy())
-            texts = []
-            for low, high in zip(np.r_[0, ends[:-1]], ends):
-                own = flat[low:high]
-                own = own[(own >= 0) & (own < len(tokens))]
-                texts.append(" ".join(tokens[own].tolist()))
+            texts = [_joined(tokens, flat[low:high]) for low, high in zip(np.r_[0, ends[:-1]], ends)]
             yield append(batch, **{text: pa.array(texts, pa.string())})
 
     return df.mapInArrow(decode, schema_with(df, (text, T.StringType())))
