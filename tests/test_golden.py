@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import keep_at_least
 from tidemill.plans import daily_means, moving_means, rain_runs
 from tidemill.plans import daily_mean_lines, json_lines, moving_mean_lines, rain_run_lines, timed_readings
-from tidemill.operators.eventtime import SESSION_DELAY
+from tidemill.operators.eventtime import NO_DELAY, SESSION_DELAY
 from tidemill.sources import as_messages, read_weather_tsv
 from tidemill.streaming import drain_to_table
 
@@ -82,8 +82,8 @@ def test_batch(spark, station, season):
 def test_stream(spark, station, season):
     golden = GOLDEN[station, season]
     messages = messages_of(spark, station, season, stream=True)
-    assert drain_to_table(spark, daily_mean_lines(messages), "golden").count() == golden[1] - 1
-    assert drain_to_table(spark, moving_mean_lines(messages), "golden").count() == golden[2] - 3
+    assert drain_to_table(spark, daily_mean_lines(messages, delay=NO_DELAY), "golden").count() == golden[1] - 1
+    assert drain_to_table(spark, moving_mean_lines(messages, delay=NO_DELAY), "golden").count() == golden[2] - 3
     runs = rain_run_lines(messages, delay=SESSION_DELAY)
     assert drain_to_table(spark, runs, "golden").count() == golden[4]
 
