@@ -123,12 +123,18 @@ def fit(terms: np.ndarray, labels: np.ndarray) -> Model:
         return Model(empty, empty, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
     seen = (terms > 0).sum(0)
     weight = np.log((1 + len(terms)) / (1 + seen)).astype(np.float32) + 1
-    weighted = terms * weight
-    mean = weighted.mean(0)
-    _, vectors = np.linalg.eigh(np.cov((weighted - mean).T.astype(np.float64)) if len(terms) > 1 else np.eye(TERMS))
+    mean = (terms.mean(0) * weight).astype(np.float32)
+    # By blocks, so that the driver holds no second copy of the sample in doubles.
+    scatter = np.zeros((TERMS, TERMS))
+    for at in range(0, len(terms), BLOCK):
+        part = (terms[at : at + BLOCK] * weight - mean).astype(np.float64)
+        scatter += part.T @ part
+    _, vectors = np.linalg.eigh(scatter)
+    del scatter
     basis = np.ascontiguousarray(vectors[:, ::-1][:, :DIMENSIONS]).astype(np.float32)
     model = Model(weight, mean, basis, np.zeros((0, 1), np.float32), labels, float(labels.mean()))
-    model.vectors = model.project(terms).astype(np.float32)
+    parts = [model.project(terms[at : at + BLOCK]) for at in range(0, len(terms), BLOCK)]
+    model.vectors = np.concatenate(parts).astype(np.float32)
     return model
 
 
@@ -158,8 +164,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
     # Repeated keys could multiply the rows: the bound holds here once more.
     rows = describe(sample, "_text", "_terms").select("_y", "_terms").limit(4 * PER_LABEL).collect()
+    known = np.array([r[0] for r in rows], np.float32)
     terms = np.stack([np.frombuffer(r[1], "<f4") for r in rows]) if rows else np.zeros((0, TERMS), np.float32)
-    return fit(terms, np.array([r[0] for r in rows], np.float32))
+    del rows
+    return fit(terms, known)
 
 
 def score_quality(df: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
