@@ -1,5 +1,7 @@
-from tests.llm.cases import documents, lines, odd_rows
-from tidemill.llm.lines import chunk_ends, dedup_lines
+import random
+
+from tests.llm.cases import documents, lines, odd_rows, words
+from tidemill.llm.lines import chunk_ends, dedup_lines, runs
 
 
 def brute(rows):
@@ -51,5 +53,36 @@ def test_passage_inside_other_text(spark):
     assert all(got[i].n_removed > 25 for i in (1, 2, 3))
 
 
+def test_short_passages_inside_other_text_go_whole(spark):
+    shapes = [[60], [30, 30], [20, 20, 20], [9, 40, 9], [12, 12, 12, 15], [5, 5, 5, 5, 5, 30], [55, 1], [1, 55], [10] * 8]
+    rows, passages = [], []
+    for i, shape in enumerate(shapes):
+        own = [words(5000 + 100 * i + j, n) for j, n in enumerate(shape)]
+        passages.append("\n".join(own[:1] + [""] * (len(own) > 2) + own[1:]))
+        for j in range(3):
+            around = [lines(9000 + 10 * i + j, 1 + (i + j) % 5), lines(9500 + 10 * i + j, 1 + j)]
+            rows.append((10 * i + j, f"{around[0]}\n{passages[-1]}\n{around[1]}"))
+    got = {r.doc_id: r for r in dedup_lines(documents(spark, rows)).collect()}
+    for k, text in rows:
+        passage = passages[k // 10]
+        assert got[k].text == (text if k % 10 == 0 else text.replace(passage + "\n", ""))
+        assert got[k].n_removed == (0 if k % 10 == 0 else passage.count("\n") + 1)
+
+
+def test_runs_are_the_shortest_of_fifty_words():
+    draw = random.Random(3)
+    for _ in range(50):
+        text = [words(draw.randrange(10**6), draw.choice((0, 1, 4, 20, 49, 50, 70))) for _ in range(30)]
+        expected, count = set(), [len(x.split()) for x in text]
+        for i in range(30):
+            for j in range(i, 30):
+                if count[i] and count[j] and sum(count[i : j + 1]) >= 50:
+                    shorter = (sum(count[i : max(k for k in range(i, j + 1) if k == i or (k < j and count[k])) + 1]) if i < j else 0)
+                    other = sum(count[min(k for k in range(i, j + 1) if k == j or (k > i and count[k])) : j + 1]) if i < j else 0
+                    if shorter < 50 or other < 50:
+                        expected.add((i, j))
+        assert {(a, b) for a, b, _ in runs("\n".join(text))} == expected
+
+
 def test_empty_table(spark):
     assert dedup_lines(documents(spark, []).limit(0)).count() == 0

@@ -4,6 +4,11 @@ The lines of a text are hashed, and a rolling hash over the last few line hashes
 decides where a chunk ends. So chunk limits move with the lines: an insertion changes
 the chunks around it and no others. Chunks of several lines that occur more than once
 anywhere are compared byte for byte, and all but the first occurrence are removed.
+
+Chunk limits miss passages that lie between them. So the shortest run of lines with at
+least 50 words is taken from every line onwards, and back from every line. Such runs
+cover every repeated passage of whole lines and that many words to its first and last
+line. Equal runs, by 128 bits of hash, are treated like equal chunks.
 """
 
 from __future__ import annotations
@@ -22,6 +27,8 @@ from tidemill.llm.common import append, mix64, positional, saved, schema_with, t
 ROLL = 2  # lines under the rolling hash
 MEAN = 4  # one rolling hash in so many ends a chunk
 LEAST = 2  # lines of a chunk, and lines that are not blank of one that may go
+WORDS = 50  # of a run of lines that may go
+WHOLE = 1000  # words of a passage up to which it goes to its ends
 
 
 def chunk_ends(lines: list[str], roll: int = ROLL, mean: int = MEAN, least: int = LEAST) -> list[int]:
@@ -49,14 +56,64 @@ def _chunks(text: str, only: set[int] | None = None) -> Iterator[tuple[int, int,
         start = end
 
 
+def _counts(lines: list[str]) -> np.ndarray:
+    return np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
+
+
+def runs(text: str, least: int = WORDS) -> Iterator[tuple[int, int, bytes]]:
+    """(first line, last line, hash) of the shortest runs with ``least`` words from each
+    line on and back from each line. None begins or ends with a blank line."""
+    lines = text.split("\n")
+    counts = _counts(lines)
+    full = np.flatnonzero(counts)
+    sums = np.r_[0, np.cumsum(counts[full])]
+    if sums[-1] < least:
+        return
+    onward = np.searchsorted(sums, sums[:-1] + least)  # one behind the last, of the full lines
+    back = np.searchsorted(sums, sums[1:] - least, "right") - 1
+    spans = {(i, e - 1) for i, e in enumerate(onward.tolist()) if e < len(sums)}
+    spans.update((b, i) for i, b in enumerate(back.tolist()) if b >= 0)
+    data = [x.encode("utf-8", "surrogatepass") for x in lines]
+    ends = np.cumsum([len(x) + 1 for x in data])
+    starts, whole = (ends - [len(x) + 1 for x in data]).tolist(), memoryview(b"\n".join(data))
+    ends, full = (ends - 1).tolist(), full.tolist()
+    for i, j in spans:
+        first, last = full[i], full[j]
+        yield first, last, xxhash.xxh3_128_digest(whole[starts[first] : ends[last]])
+
+
+def _cut_lines(lines: list[str], chunks: list[int] | None, spans: list[dict] | None) -> np.ndarray:
+    """Which lines go: those of the chunks, and of passages that the runs make up. Beside
+    chunks that go, an end of a passage over ``WHOLE`` words stays if below ``WORDS``."""
+    gone = np.zeros(len(lines), bool)
+    if chunks:
+        ends = [0, *chunk_ends(lines)]
+        for number in chunks:
+            gone[ends[number] : ends[number + 1]] = True
+    if not spans:
+        return gone
+    step = np.zeros(len(lines) + 1, np.int64)
+    np.add.at(step, [x["first"] for x in spans], 1)
+    np.add.at(step, [x["last"] + 1 for x in spans], -1)
+    edges = np.flatnonzero(np.diff(np.r_[False, np.cumsum(step[:-1]) > 0, False]))
+    counts = _counts(lines)
+    for low, high in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        taken = low + np.flatnonzero(gone[low:high])
+        if len(taken) and counts[low:high].sum() > WHOLE:
+            low = int(taken[0]) if counts[low : taken[0]].sum() < WORDS else low
+            high = int(taken[-1]) + 1 if counts[taken[-1] + 1 : high].sum() < WORDS else high
+        gone[low:high] = True
+    return gone
+
+
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with repeated chunks cut from ``text``, and n_lines, n_removed (lines).
+    """``df`` with repeated passages cut from ``text``, and n_lines, n_removed (lines).
 
     The occurrence with the smallest key (null last), then the smallest text hash, then
     the first in the text stays. Rows that agree in key and text are treated alike. A
-    text that is null stays null; one that loses all its lines is empty. Chunks of one
-    line, and blank lines, are never repeated passages. Columns of ``df`` named as those
-    added are replaced.
+    text that is null stays null; one that loses all its lines is empty. Single lines
+    below 50 words, and blank lines, are never repeated passages. Columns of ``df`` named
+    as those added are replaced.
     """
     plain, names = positional(df)
     done = _dedup(plain, names[key], names[text])
@@ -116,29 +173,66 @@ def _dedup(df: DataFrame, key: str, text: str) -> DataFrame:
         F.col("_key").eqNullSafe(F.col("_first._key"))
         & (F.col("_row") == F.col("_first._row")) & (F.col("_chunk") == F.col("_first._chunk"))
     )
-    gone = own.where(~is_first).groupBy(F.col("_key").alias("_k"), F.col("_row").alias("_r")).agg(
-        F.collect_set("_chunk").alias("_gone")
+    nothing = F.lit(None).cast("int")
+    lost = own.where(~is_first).select("_key", "_row", "_chunk", nothing.alias("first"), nothing.alias("last"))
+    lost = lost.union(_later_runs(docs, text).select("_key", "_row", nothing, "first", "last"))
+    span = F.when(F.col("first").isNotNull(), F.struct("first", "last"))
+    gone = lost.groupBy(F.col("_key").alias("_k"), F.col("_row").alias("_r")).agg(
+        F.collect_set("_chunk").alias("_gone"), F.collect_set(span).alias("_spans")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, kept, n, removed = batch.column(text).to_pylist(), [], [], []
-            for t, numbers in zip(texts, batch.column("_gone").to_pylist()):
+            numbers, spans = batch.column("_gone").to_pylist(), batch.column("_spans").to_pylist()
+            for t, *found in zip(texts, numbers, spans):
                 lines = (t or "").split("\n")
                 n.append(len(lines) if t else 0)
-                if not numbers:
+                if not any(found):
                     kept.append(t)
                     removed.append(0)
                     continue
-                drop, own, start = set(numbers), [], 0
-                for number, end in enumerate(chunk_ends(lines)):
-                    own += lines[start:end] if number not in drop else []
-                    start = end
-                kept.append("\n".join(own))
-                removed.append(len(lines) - len(own))
+                drop = _cut_lines(lines, *found)
+                kept.append("\n".join(x for x, d in zip(lines, drop.tolist()) if not d))
+                removed.append(int(drop.sum()))
             whole = append(batch, **{text: pa.array(kept, pa.string()), "n_lines": pa.array(n, pa.int64()),
                                      "n_removed": pa.array(removed, pa.int64())})
-            yield whole.drop_columns(["_key", "_row", "_k", "_r", "_gone"])
+            yield whole.drop_columns(["_key", "_row", "_k", "_r", "_gone", "_spans"])
 
     added = ((text, T.StringType()), ("n_lines", T.LongType()), ("n_removed", T.LongType()))
     return docs.join(gone, same(gone), "left").mapInArrow(cut, schema_with(df, *added))
+
+
+def _later_runs(docs: DataFrame, text: str) -> DataFrame:
+    """(_key, _row, first, last) of the runs that occur earlier too."""
+    kind = docs.schema["_key"].dataType
+    schema = T.StructType([T.StructField("_key", kind), T.StructField("_row", T.LongType()), T.StructField("first", T.IntegerType()),
+                           T.StructField("last", T.IntegerType()), T.StructField("_high", T.LongType()), T.StructField("_low", T.LongType())])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, first, last, hashes = [], [], [], []
+            for i, t in enumerate(texts_of(batch.column(0))):
+                for low, high, own in runs(t):
+                    at.append(i)
+                    first.append(low)
+                    last.append(high)
+                    hashes.append(own)
+            index, halves = pa.array(at, pa.int64()), np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1).take(index), batch.column(2).take(index), pa.array(first, pa.int32()), pa.array(last, pa.int32()),
+                 pa.array(halves[:, 0]), pa.array(halves[:, 1])], schema.names)
+
+    found = saved(docs.select(F.col(text), "_key", "_row").mapInArrow(listed, schema), "line-runs")
+    place = F.struct(F.col("_key").isNull().alias("n"), "_key", "_row", "first")
+    groups = saved(
+        found.groupBy(F.col("_high").alias("_h"), F.col("_low").alias("_l"))
+        .agg(F.min(place).alias("_first"), F.count("*").alias("_times")).where("_times > 1").drop("_times"),
+        "line-run-groups",
+    )
+    both = found.join(groups, (found["_high"] == groups["_h"]) & (found["_low"] == groups["_l"]))
+    is_first = (
+        F.col("_key").eqNullSafe(F.col("_first._key"))
+        & (F.col("_row") == F.col("_first._row")) & (F.col("first") == F.col("_first.first"))
+    )
+    return both.where(~is_first).select("_key", "_row", "first", "last")
