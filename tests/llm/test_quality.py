@@ -42,6 +42,19 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
     assert np.array_equal(models[0].vectors, models[1].vectors)
 
 
+def test_the_ratio_of_labels_does_not_change_with_the_size(spark, monkeypatch):
+    rows = [(i, words(i, 6)) for i in range(6000)]
+    labels = spark.createDataFrame([(i, int(i % 2 > 0 or i % 3 > 0), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    docs = documents(spark, rows).coalesce(4).cache()
+    monkeypatch.setattr(quality, "fit", lambda terms, known: known)
+    open_ = [int(i % 6 > 0) for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    known = train(docs, labels)
+    assert len(known) == 4000 < len(open_)
+    assert abs(np.mean(known) - np.mean(open_)) < 0.01
+    few = train(docs, labels.where("doc_id < 1200"))
+    assert len(few) < 1000 and abs(np.mean(few) - np.mean(known)) < 0.02
+
+
 def test_votes_are_those_of_brute_force():
     rows, labels = corpus(150)
     terms = np.stack([Describer()(t) for _, t in rows])

@@ -7,8 +7,9 @@ dimensions of a labelled sample. The sample's vectors are broadcast; every docum
 compared with all of them in blocks of exact cosine products, and the labels of the
 nearest are averaged by similarity.
 
-``PER_LABEL`` bounds the sample, and so the broadcast, at every size of the corpus:
-2 x 2,000 vectors of 48 numbers. All else covers every document and whole texts.
+``SAMPLE`` bounds the sample, and so the broadcast, at every size of the corpus: 4,000
+vectors of 48 numbers. It is drawn over all labels together, so their ratio, and with it
+what a score means, does not change with the size. All else covers every document and whole texts.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidemill.llm.common import Roller, append, mix64, schema_with, texts_of
 
-PER_LABEL = 2000
+SAMPLE = 4000
 DIMENSIONS = 48
 NEIGHBOURS = 25
 BLOCK = 512
@@ -154,16 +155,13 @@ def describe(df: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
-    """A model from at most ``PER_LABEL`` labelled rows of each label, those with the
-    smallest key hashes, none of them held out. Other labels than 0 and 1 are ignored."""
+    """A model from at most ``SAMPLE`` labelled rows, those with the smallest key hashes
+    whatever their label, none of them held out. Other labels than 0 and 1 are ignored."""
     open_ = labels.where(F.col(key).isNotNull() & ~held_out(key)).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_y"))
-    chosen = None
-    for value in (0, 1):
-        part = open_.where(F.col("_y") == value).orderBy(F.xxhash64("_key"), "_key").limit(PER_LABEL)
-        chosen = part if chosen is None else chosen.union(part)
+    chosen = open_.where(F.col("_y").isin(0, 1)).orderBy(F.xxhash64("_key"), "_key", "_y").limit(SAMPLE)
     sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
     # Repeated keys could multiply the rows: the bound holds here once more.
-    rows = describe(sample, "_text", "_terms").select("_y", "_terms").limit(4 * PER_LABEL).collect()
+    rows = describe(sample, "_text", "_terms").select("_y", "_terms").limit(2 * SAMPLE).collect()
     known = np.array([r[0] for r in rows], np.float32)
     terms = np.stack([np.frombuffer(r[1], "<f4") for r in rows]) if rows else np.zeros((0, TERMS), np.float32)
     del rows
