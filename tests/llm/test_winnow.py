@@ -32,6 +32,17 @@ def test_shared_strings_are_found():
     assert set(a[0].tolist()) & set(b[0].tolist())
 
 
+def test_short_texts_keep_their_likeness():
+    winnow, every, errors = Winnower(), Winnower(w=1), []
+    for i in range(200):
+        text, after = (words(900 + i + x, 60)[: 60 + i] for x in (0, 500))
+        edited = text[: len(text) - len(text) // 3] + after[: len(text) // 3]
+        got, exact = (likeness(f(text)[0], f(edited)[0]) for f in (winnow, every))
+        assert got > 0 or exact < 0.2
+        errors.append(abs(got - exact))
+    assert sum(errors) / len(errors) < 0.1
+
+
 def test_odd_rows(spark):
     rows = odd_rows()
     got = neighbour_likeness(documents(spark, rows)).collect()

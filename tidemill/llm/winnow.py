@@ -18,7 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemill.llm.common import Roller, append, schema_with, sliding_min, texts_of
 
-GRAM, WINDOW = 24, 128
+GRAM, WINDOW = 24, 16
 _LOW = (1 << 24) - 1
 _SEGMENT = 1 << 23
 
