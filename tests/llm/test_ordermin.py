@@ -73,6 +73,17 @@ def test_groups(spark):
     assert all(r.kept == (k == r.class_id) for k, r in got.items())
 
 
+def test_short_texts(spark):
+    rows = []
+    for i in range(160):
+        n = 8 + i % 17
+        own = words(1000 + i, n).split()
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join([*own, "more"] if i % 2 else ["more", *own]))]
+    got = {r.doc_id: r.class_id for r in near_duplicates(documents(spark, rows)).collect()}
+    assert got == brute(rows)
+    assert all(got[2 * i + 1] == 2 * i for i in range(160))
+
+
 def test_stragglers_meet_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(ordermin, "BLOCK", 3)
     monkeypatch.setattr(ordermin, "PICKED", 1)  # buckets of texts that are not alike
