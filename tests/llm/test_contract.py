@@ -17,12 +17,15 @@ COLUMNS = {
     "op7": "page_id payload_bytes payload_digest record_type refers_to",
     "op8": "doc_id n_tokens ids_sha256 decoded_sha256", "op9": "doc_id held_out score predicted",
     "op10": "page_id url text n_chars",
+    "op11": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op12": "doc_id held_out n_tokens n_known train_tokens base_score score", "op13": "item_id rank doc_id score",
 }
 TABLE = {"op4": "embeddings", "op7": "pages", "op10": "pages"}
+SEARCHES = ("op11", "op13")  # rows of these are results, not those of a table
 
 
 def test_one_query_for_each_operator():
-    assert [n.partition("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.partition("_")[0] for n in QUERIES] == [f"op{i}" for i in (*range(1, 12), 13)]
     assert {*QUERIES, "pipeline"} <= contract.queries().keys()
 
 
@@ -31,6 +34,8 @@ def test_every_row_of_the_table(name, spark, small_sf):
     op = name.partition("_")[0]
     got = QUERIES[name](spark, small_sf)
     assert set(COLUMNS[op].split()) <= set(got.columns)
+    if op in SEARCHES:
+        return
     key = COLUMNS[op].split()[0]
     given = spark.read.parquet(f"{small_sf}/{TABLE.get(op, 'documents')}.parquet")
     assert sorted(r[0] for r in got.select(key).collect()) == sorted(r[0] for r in given.select(key).collect())

@@ -1,0 +1,89 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemill.llm import hardneg
+from tidemill.llm.hardneg import Block, hard_negatives
+
+SCHEMA = "vec_id long, embedding array<double>, label int, key int, row int, anchor int, score long, dim int"
+
+
+def brute(rows):
+    able = []
+    for key, v, label in dict.fromkeys((k, None if v is None else tuple(v), l) for k, v, l in rows):
+        if key is None or v is None or label is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        able.append((key, tuple(math.floor(256 * x) for x in v), label))
+    able = list(dict.fromkeys(able))
+    out = []
+    for a in able:
+        if a[0] % 50:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(a[1], b[1])), b[0], b[2]) for b in able if b is not a and len(b[1]) == len(a[1]))
+        for ps, pid, _ in [s for s in scored if s[2] == a[2]][:5]:
+            fit = [s for s in scored if s[2] != a[2] and 50 * -ps <= 100 * -s[0] <= 95 * -ps][:3]
+            out += [(a[0], pid, r, nid, -ps, -ns) for r, (ns, nid, _) in enumerate(fit, 1)]
+    return sorted(out)
+
+
+def got(spark, rows):
+    df = spark.createDataFrame([(*r, 1, 2, 3, 4, 5) for r in rows], SCHEMA)
+    found = hard_negatives(df, F.col("key") % 50 == 0)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in found.collect())
+
+
+def vectors(seed, n, dim, spread):
+    draw = np.random.default_rng(seed)
+    centres = draw.normal(size=(6, dim))
+    return (centres[draw.integers(0, 6, n)] + spread * draw.normal(size=(n, dim))).tolist()
+
+
+@pytest.mark.parametrize("spread, dim, bytes_", [(0.5, 24, 1 << 20), (3.0, 10, 1 << 20), (0.5, 33, 4000), (0.5, 1, 1 << 20)])
+def test_equal_to_brute_force(spark, monkeypatch, spread, dim, bytes_):
+    monkeypatch.setattr(hardneg, "ANCHOR_BYTES", bytes_)
+    monkeypatch.setattr(hardneg, "ROW_BYTES", bytes_)
+    monkeypatch.setattr(hardneg, "STRIP", 3)
+    draw = random.Random(5)
+    rows = [(i, v, draw.choice([0, 0, 0, 1, 2])) for i, v in enumerate(vectors(1, 400, dim, spread))]
+    rows += [(900 + i, rows[i][1], 1) for i in range(0, 100, 9)]  # ties
+    expected = brute(rows)
+    assert len(expected) > 20
+    assert got(spark, rows) == expected
+
+
+def test_odd_rows(spark):
+    v = [0.5, 0.25, -1.0]
+    rows = [
+        (0, v, 1), (0, v, 1), (1, v, 1), (2, None, 1), (3, [0.1, None, 2.0], 1), (4, [math.nan, 1.0, 1.0], 1), (5, v, None), (None, v, 1),
+        (6, [math.inf, 0.0, 0.0], 2), (50, [0.0, 0.0, 0.0], 1), (7, [0.0, 0.0, 0.0], 2), (100, [1.0], 1), (8, [0.5], 2), (9, [1.0], 1),
+        (150, [], 1), (10, [], 1), (11, [], 2), (12, [0.4, 0.2, -0.7], 2), (200, [1e200, 1.0], 1), (13, [1e-190, 4.0], 1), (14, [1e-190, 3.0], 2),
+        (50, v, 2), (300, [1e7, 1.0], 4), (301, [1e7, 2.0], 4), (302, [8e6, 1.0], 5), (303, [8e6, 1.0], 5), (250, [1e200, 2.0, 0.0, 1.0], 1),
+    ]
+    expected = brute(rows)
+    assert {r[0] for r in expected} >= {0, 100, 150, 300}
+    assert got(spark, rows) == expected
+
+
+def test_empty_table(spark):
+    assert got(spark, []) == []
+
+
+def test_bounds_hold_and_settle_pairs_early():
+    draw = np.random.default_rng(2)
+    walk = np.floor(np.cumsum(draw.normal(size=(300, 64)), axis=1) * 20)  # neighbours are alike
+    a, b = Block(walk[:40]), Block(walk)
+    i, j = (x.ravel() for x in np.indices((40, 300)))
+    true = np.einsum("ij,ij->i", walk[:40][i], walk[j])
+    left = []
+    for level in range(len(a.parts)):
+        low, high = a.bounds(slice(0, 40), b, level, i, j)
+        assert (low <= true).all() and (true <= high).all()
+        some = np.arange(0, len(i), 17)
+        few = a.bounds(slice(0, 40), b, level, i[some], j[some])
+        assert np.allclose(few[0], low[some]) and np.allclose(few[1], high[some])
+        left.append((high >= hardneg.nth_largest(low, i, 5, 40)[i]).sum())
+    assert left[-1] < 0.1 * len(i) and left == sorted(left, reverse=True)

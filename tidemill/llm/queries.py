@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.bpe import decode_bpe, encode_bpe
 from tidemill.llm.common import table
+from tidemill.llm.hardneg import hard_negatives
 from tidemill.llm.lines import dedup_lines
 from tidemill.llm.maintext import extract_main_text
 from tidemill.llm.maintext import train as train_regions
@@ -17,6 +18,7 @@ from tidemill.llm.mixing import mix_sources
 from tidemill.llm.ordermin import near_duplicates
 from tidemill.llm.quality import held_out, score_quality, train
 from tidemill.llm.runindex import remove_repeats
+from tidemill.llm.search import rank_documents
 from tidemill.llm.subspace import linked_vectors
 from tidemill.llm.warc import page_of, page_records, read_warc, write_warc
 from tidemill.llm.winnow import neighbour_likeness
@@ -120,6 +122,59 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", noisy), F.col("key") % 50 == 0)
+
+
+OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike,
+    list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+def op13_document_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+TERM_LIST = (
+    "unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term"
+)
+OP13 = f"""
+WITH t AS (SELECT doc_id, {TERM_LIST} FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY ALL),
+a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM n),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM f, a GROUP BY term, docs),
+q AS (SELECT item_id, {TERM_LIST} FROM benchmark),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // l))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN f USING (term) JOIN n USING (doc_id), a GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_chunks": op1_line_chunks,
     "op2_run_index": op2_run_index,
@@ -131,5 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_main_text": op10_main_text,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op13_document_tree": op13_document_tree,
 }
-ORACLES: dict[str, str] = {"op7_warc": OP7}
+ORACLES: dict[str, str] = {"op7_warc": OP7, "op11_hard_negatives": OP11, "op13_document_tree": OP13}
