@@ -16,6 +16,7 @@ from tidemill.llm.maintext import extract_main_text
 from tidemill.llm.maintext import train as train_regions
 from tidemill.llm.mixing import mix_sources
 from tidemill.llm.ordermin import near_duplicates
+from tidemill.llm.pitmanyor import score_texts
 from tidemill.llm.quality import held_out, score_quality, train
 from tidemill.llm.runindex import remove_repeats
 from tidemill.llm.search import rank_documents
@@ -151,6 +152,15 @@ QUALIFY rank <= 3
 """
 
 
+def op12_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 7
+    scored = score_texts(documents, rest != 2)
+    return scored.select(
+        "doc_id", (rest == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op13_document_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -187,6 +197,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_main_text": op10_main_text,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_pitman_yor": op12_pitman_yor,
     "op13_document_tree": op13_document_tree,
 }
 ORACLES: dict[str, str] = {"op7_warc": OP7, "op11_hard_negatives": OP11, "op13_document_tree": OP13}

@@ -10,7 +10,7 @@ import pyarrow as pa
 
 from tidemill.llm.common import mix64
 
-PIECE = 8 << 20  # bytes of text that are split at once, unless a single text has more
+PIECE = 2 << 20  # bytes of text that are split at once, unless a single text has more
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
