@@ -82,6 +82,80 @@ def test_quarantine(spark, tmp_path):
     }
 
 
+def test_quarantine_reads_its_source_once(spark, tmp_path):
+    write_messages(f"{tmp_path}/in", TOPIC, "0", [weather.message(*r) for r in hourly(days=1)])
+    argv = [
+        "json-lines", "--source", "files", "--in-path", f"{tmp_path}/in", "--sink", "files", "--out-path",
+        f"{tmp_path}/out", "--checkpoint", f"{tmp_path}/c", "--on-malformed", "quarantine",
+        "--quarantine-path", f"{tmp_path}/bad",
+    ]
+    queries = start(spark, _parser().parse_args(argv))
+    try:
+        for query in queries:
+            query.processAllAvailable()
+        sources = [q.lastProgress["sources"][0]["description"] for q in queries]
+        assert sum(f"{tmp_path}/in" in source for source in sources) == 1
+    finally:
+        for query in queries:
+            query.stop()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 24
+
+
+def test_quarantine_goes_on_after_a_failure(spark, tmp_path):
+    """The process ends between the commit of both kinds and what follows; and then in the
+    middle of a micro-batch. Every record is in one output."""
+    good = [weather.message(*r) for r in hourly(days=2)]
+    for i in range(4):
+        write_messages(f"{tmp_path}/in", TOPIC, str(i), [*good[12 * i : 12 * i + 12], f"junk {i}"])
+    argv = [
+        "json-lines", "--source", "files", "--in-path", f"{tmp_path}/in", "--sink", "files", "--out-path",
+        f"{tmp_path}/out", "--checkpoint", f"{tmp_path}/c", "--on-malformed", "quarantine",
+        "--quarantine-path", f"{tmp_path}/bad", "--max-files-per-trigger", "1",
+    ]
+    args = _parser().parse_args(argv)
+    queries = start(spark, args)
+    for query in queries[1:]:
+        query.stop()
+    queries[0].processAllAvailable()
+    queries[0].stop()
+    queries = start(spark, args)
+    time.sleep(0.3)
+    for query in queries:
+        query.stop()
+    main([*argv, "--available-now"], spark)
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == len(good) == out.distinct().count()
+    bad = [r["raw_value"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()]
+    assert sorted(bad) == [f"junk {i}" for i in range(4)]
+
+
+@pytest.mark.parametrize("job", WINDOWED)
+def test_watermark_per_partition(spark, tmp_path, job):
+    """Partition 1 comes two days after partition 0, and nothing is lost."""
+    rows = hourly(days=5)
+    for i in range(7):
+        for number, late in ((0, 0), (1, 2)):
+            part = [r for k, r in enumerate(rows) if k // 24 == i - late and k % 2 == number]
+            if part:
+                write_messages(f"{tmp_path}/in", TOPIC, f"{number}-{i}", [weather.message(*r) for r in part])
+                time.sleep(0.02)
+    out = run(
+        spark, str(tmp_path), job, "--in-topic", TOPIC, "--max-files-per-trigger", "2", "--watermark",
+        "per-partition", "--partitions", "2",
+    )
+    last = rows[-2][0]  # of partition 0, the slower in time
+    passed = last.replace(minute=0)
+    expected = {
+        "daily-mean": 4,
+        "moving-mean": sum(s <= weather.stamp(passed - 3 * weather.HOUR) for s in weather.moving(rows)),
+        "rain-runs": sum(s < weather.stamp(passed) for s, _ in weather.rain_runs(rows)),
+    }
+    assert out.count() == expected[job]
+    if job == "rain-runs":
+        got = sorted(r["value"].split("\t")[0].split(":", 1)[1] for r in out.collect())
+        assert got == sorted(s for s, _ in weather.rain_runs(rows) if s < weather.stamp(passed))
+
+
 def test_refreshing_mean_by_timer(spark, tmp_path):
     write_messages(f"{tmp_path}/in", "weather-a", "0", [weather.message(*r) for r in hourly(days=1)])
     argv = [
@@ -182,8 +256,10 @@ def test_every_record_is_in_the_output_or_in_quarantine(spark, tmp_path):
         ["daily-mean", "--checkpoint", "c", "--source", "files", "--sink", "files"],
         ["json-lines", "--checkpoint", "c", "--source", "files", "--in-path", "i", "--sink",
          "files", "--out-path", "o", "--on-malformed", "quarantine"],
-        ["json-lines", "--checkpoint", "c", "--bootstrap-servers", "b", "--in-topic", "t", "--out-topic",
-         "o", "--on-malformed", "quarantine", "--quarantine-path", "q"],
+        ["daily-mean", "--checkpoint", "c", "--bootstrap-servers", "b", "--in-topic", "t", "--out-topic",
+         "o", "--on-malformed", "quarantine", "--quarantine-path", "q", "--watermark", "per-topic"],
+        ["daily-mean", "--checkpoint", "c", "--bootstrap-servers", "b", "--in-topic", "t", "--out-topic",
+         "o", "--idle", "3"],
         ["passthrough", "--on-missing", "zero", "--checkpoint", "c"],
         ["refreshing-mean", "--panes", "timer", "--available-now", "--checkpoint", "c",
          "--source", "files", "--in-path", "i", "--sink", "files", "--out-path", "o"],

@@ -24,17 +24,20 @@ from tidemill.operators import (
     clean_observations,
     parse_weather,
     passthrough,
-    rejected,
     watermark_per_source,
 )
 from tidemill.operators.eventtime import DEFAULT_DELAY, NO_DELAY, SESSION_DELAY
 from tidemill.plans import (
+    COMPLETE_DAILY_MEANS,
+    COMPLETE_MOVING_MEANS,
+    COMPLETE_RAIN_RUNS,
     daily_means,
     json_lines,
     moving_means,
     non_negative_lines,
     rain_runs,
     refreshing_mean_lines,
+    start_stretch_job,
     temperatures,
     timed_readings,
 )
@@ -53,7 +56,17 @@ from tidemill.sources import (
     write_parquet,
     write_tsv,
 )
-from tidemill.streaming import LateRows, start_pane_means, timer_pane_means
+from tidemill.streaming import (
+    LateRows,
+    accepted_stream,
+    rejected_stream,
+    start_pane_means,
+    start_split,
+    timer_pane_means,
+    write_numbered,
+)
+
+PARTITION = ("topic", "partition")
 
 # Jobs without windows: messages -> rows.
 STATELESS = {
@@ -67,6 +80,12 @@ WINDOWED: dict[str, tuple[Callable[[DataFrame], DataFrame], Callable[[], Column]
     "moving-mean": (moving_means, lambda: moving_mean_line(F.col("window_start"), F.col("mean"))),
     "rain-runs": (rain_runs, lambda: rain_run_line(F.col("window_end"), F.col("hours"))),
 }
+# The same on stretches of time that all partitions have passed.
+STRETCHES = {
+    "daily-mean": COMPLETE_DAILY_MEANS,
+    "moving-mean": COMPLETE_MOVING_MEANS,
+    "rain-runs": COMPLETE_RAIN_RUNS,
+}
 REFRESHING = "refreshing-mean"
 STREAM_JOBS = (*STATELESS, *WINDOWED, REFRESHING)
 
@@ -101,9 +120,18 @@ def _parser() -> argparse.ArgumentParser:
             )
         if name in WINDOWED:
             job.add_argument(
-                "--watermark", choices=("merged", "per-topic"), default="merged",
+                "--watermark", choices=("merged", "per-topic", "per-partition"), default="merged",
                 help="per-topic: the slowest topic holds the watermark back; one source for each "
-                "topic, so for tens of them, not thousands",
+                "topic, so for tens of them, not thousands; per-partition: the slowest partition "
+                "of all topics, with late rows kept below the checkpoint",
+            )
+            job.add_argument(
+                "--partitions", type=int, metavar="N",
+                help="per-partition: so many of each topic hold the watermark back from the start",
+            )
+            job.add_argument(
+                "--idle", type=float, metavar="SECONDS",
+                help="per-partition: one that brings nothing for so long holds back no longer",
             )
             job.add_argument(
                 "--delay", type=float, metavar="SECONDS",
@@ -139,20 +167,26 @@ def _check(parser: argparse.ArgumentParser, args: argparse.Namespace) -> None:
         need(args.out_path, "--out-path", "a file sink")
     if getattr(args, "on_malformed", None) == "quarantine":
         need(args.quarantine_path, "--quarantine-path", "quarantine")
-        if args.source == "kafka" and args.starting_offsets == "latest":
-            # Good and bad records are two queries. Each would take its own "latest", and
-            # a record that comes in between would be in neither.
-            parser.error("quarantine needs --starting-offsets: earliest, or the offsets as JSON")
+        if getattr(args, "watermark", None) == "per-topic":
+            parser.error("quarantine reads all topics as one: use another --watermark")
     if getattr(args, "panes", None) == "timer" and args.available_now:
         parser.error("panes closed by a timer have no end: leave out --available-now")
     if getattr(args, "watermark", None) == "per-topic":
         need(args.in_topic, "--in-topic", "a watermark per topic")
+    if getattr(args, "watermark", None) == "per-partition":
+        if args.partitions:
+            need(args.in_topic, "--in-topic", "a number of partitions")
+        if args.fail_on_late:
+            parser.error("a watermark per partition keeps late rows: leave out --fail-on-late")
+    elif getattr(args, "partitions", None) or getattr(args, "idle", None):
+        parser.error("--partitions and --idle need --watermark per-partition")
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace, topics: Sequence[str]) -> DataFrame:
+    partitions = getattr(args, "watermark", None) == "per-partition"
     if args.source == "files":
         limit = {"maxFilesPerTrigger": args.max_files_per_trigger} if args.max_files_per_trigger else {}
-        lines = message_lines(spark, args.in_path, **limit)
+        lines = message_lines(spark, args.in_path, partitions=partitions, **limit)
         return lines.filter(F.col("topic").isin(*topics)) if topics else lines
     source = KafkaSource(
         args.bootstrap_servers,
@@ -160,7 +194,7 @@ def _messages(spark: SparkSession, args: argparse.Namespace, topics: Sequence[st
         starting_offsets=args.starting_offsets,
         max_offsets_per_trigger=args.max_offsets_per_trigger,
     )
-    return read_kafka(spark, source)
+    return read_kafka(spark, source, partitions=partitions)
 
 
 def _delay(args: argparse.Namespace) -> timedelta:
@@ -170,11 +204,12 @@ def _delay(args: argparse.Namespace) -> timedelta:
     return DEFAULT_DELAY
 
 
-def _windowed(spark: SparkSession, args: argparse.Namespace, rules: dict) -> DataFrame:
+def _windowed(
+    spark: SparkSession, args: argparse.Namespace, rules: dict, records: DataFrame | None
+) -> DataFrame:
     groups = [[t] for t in args.in_topic] if args.watermark == "per-topic" else [args.in_topic]
-    sources = [
-        timed_readings(_messages(spark, args, topics), delay=None, **rules) for topics in groups
-    ]
+    inputs = [records] if records is not None else [_messages(spark, args, g) for g in groups]
+    sources = [timed_readings(messages, delay=None, **rules) for messages in inputs]
     windows, line = WINDOWED[args.job]
     return windows(watermark_per_source(sources, _delay(args))).select("topic", line().alias("value"))
 
@@ -193,19 +228,38 @@ def _start_sink(args: argparse.Namespace, rows: DataFrame) -> StreamingQuery:
     return start_kafka_sink(records, args.bootstrap_servers, args.out_topic, checkpoint, **how)
 
 
+def _write_batch(args: argparse.Namespace, lines: DataFrame, number: int) -> None:
+    """The lines of a micro-batch. Files are overwritten if it is run again."""
+    if args.sink == "files":
+        write_numbered(lines, args.out_path, number)
+    else:
+        _records(args, lines).write.format("kafka").option(
+            "kafka.bootstrap.servers", args.bootstrap_servers
+        ).option("topic", args.out_topic).save()
+
+
+def _start_stretches(args: argparse.Namespace, messages: DataFrame, rules: dict) -> StreamingQuery:
+    readings = timed_readings(messages, delay=None, carry=PARTITION, **rules)
+    line = WINDOWED[args.job][1]
+
+    def write(windows: DataFrame, number: int) -> None:
+        _write_batch(args, windows.select("topic", line().alias("value")), number)
+
+    return start_stretch_job(
+        STRETCHES[args.job], readings, write, f"{args.checkpoint}/stretches",
+        expected=[(t, i) for t in args.in_topic for i in range(args.partitions or 0)],
+        delay=timedelta(seconds=args.delay or 0), idle=timedelta(seconds=args.idle) if args.idle else None,
+        trigger=args.trigger, available_now=args.available_now,
+    )
+
+
 def _start_refreshing(args: argparse.Namespace, readings: DataFrame) -> StreamingQuery:
     if args.panes == "timer":
         panes = timer_pane_means(readings, "reading", key="topic")
         return _start_sink(args, refreshing_mean_lines(panes.withColumnRenamed("pane_key", "topic")))
 
     def write(means: DataFrame, number: int) -> None:
-        lines = refreshing_mean_lines(means)
-        if args.sink == "files":
-            lines.write.mode("overwrite").parquet(f"{args.out_path}/batch={number}")
-        else:
-            _records(args, lines).write.format("kafka").option(
-                "kafka.bootstrap.servers", args.bootstrap_servers
-            ).option("topic", args.out_topic).save()
+        _write_batch(args, refreshing_mean_lines(means), number)
 
     return start_pane_means(
         readings,
@@ -225,27 +279,32 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         for name in ("on_malformed", "on_missing", "on_unknown")
         if hasattr(args, name)
     }
-    queries = []
+    queries, messages = [], None
+    how = {"trigger": args.trigger, "available_now": args.available_now}
     if rules.get("on_malformed") == "quarantine":
-        timed = args.job in WINDOWED
-        parsed = parse_weather(_messages(spark, args, args.in_topic), timed=timed, **rules)
-        queries.append(
-            start_file_sink(
-                rejected(parsed, "topic"),
-                args.quarantine_path,
-                f"{args.checkpoint}/quarantine",
-                trigger=args.trigger,
-                available_now=args.available_now,
-            )
+        # The source is read and parsed once; both kinds of records go on from there.
+        carry = PARTITION if getattr(args, "watermark", None) == "per-partition" else PARTITION[:1]
+        parsed = parse_weather(
+            _messages(spark, args, args.in_topic), timed=args.job not in STATELESS, carry=carry, **rules
         )
+        folder = f"{args.checkpoint}/records"
+        queries.append(start_split(parsed, folder, f"{args.checkpoint}/split", **how))
+        if args.available_now:
+            queries[0].awaitTermination()
+        messages = accepted_stream(spark, folder, parsed.schema)
+        bad = rejected_stream(spark, folder, parsed.schema, "topic")
+        queries.append(start_file_sink(bad, args.quarantine_path, f"{args.checkpoint}/quarantine", **how))
+    if args.job in WINDOWED and args.watermark != "per-partition":
+        queries.append(_start_sink(args, _windowed(spark, args, rules, messages)))
+        return queries
+    if messages is None:
+        messages = _messages(spark, args, args.in_topic)
     if args.job in STATELESS:
-        rows = STATELESS[args.job](_messages(spark, args, args.in_topic), rules)
-        queries.append(_start_sink(args, rows))
+        queries.append(_start_sink(args, STATELESS[args.job](messages, rules)))
     elif args.job in WINDOWED:
-        queries.append(_start_sink(args, _windowed(spark, args, rules)))
+        queries.append(_start_stretches(args, messages, rules))
     else:
-        readings = temperatures(_messages(spark, args, args.in_topic), **rules)
-        queries.append(_start_refreshing(args, readings))
+        queries.append(_start_refreshing(args, temperatures(messages, **rules)))
     return queries
 
 

@@ -143,8 +143,24 @@ def session_combine(
         folded = df.groupBy(*keys, window).agg(*combine.fold(F.col(reading)))
         return folded.select(*keys, *_bounds("_w"), combine.result().alias(name))
 
+    runs = session_runs(df, time, reading, keys=keys, combine=combine, gap=gap)
+    return close_sessions(runs, dict(df.dtypes)[time], keys=keys, combine=combine, name=name, gap=gap)
+
+
+def session_runs(
+    df: DataFrame,
+    time: str,
+    reading: str,
+    *,
+    keys: Sequence[str],
+    combine: Combine = COUNT,
+    gap: timedelta = HOUR,
+    earlier: DataFrame | None = None,
+) -> DataFrame:
+    """Steps 1 to 3 of :func:`session_combine` on a batch: one folded row for each session,
+    with the first and last time in microseconds. ``earlier`` has such rows of sessions that
+    may go on; all of them end before the first row of ``df``."""
     gap_us = micros(gap)
-    time_type = dict(df.dtypes)[time]
     instant = F.unix_micros(F.col(time).cast("timestamp"))
     cells = (
         df.filter(F.col(time).isNotNull())
@@ -153,6 +169,9 @@ def session_combine(
         .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
              *combine.fold(F.col("_reading")))
     )
+    if earlier is not None:
+        start = F.col("_first") - F.pmod("_first", F.lit(gap_us))
+        cells = cells.unionByName(earlier.withColumn("_cell", start))
     chunk_us = gap_us * max(1, isqrt(micros(_LONG_SPAN) // gap_us))
     chunked = cells.withColumn("_part", F.col("_cell") - F.pmod("_cell", F.lit(chunk_us)))
     local = _chain(chunked, [*keys, "_part"], gap_us, combine)
@@ -161,15 +180,27 @@ def session_combine(
     whole = ["_first", "_last", *combine.parts]
     inner = local.filter(~F.col("_edge")).select(*keys, *whole)
     outer = _chain(local.filter("_edge").drop("_part", "_edge"), list(keys), gap_us, combine)
-    sessions = inner.union(outer.select(*keys, *whole))
+    return inner.union(outer.select(*keys, *whole))
+
+
+def close_sessions(
+    runs: DataFrame,
+    time_type: str,
+    *,
+    keys: Sequence[str],
+    combine: Combine = COUNT,
+    name: str = "n",
+    gap: timedelta = HOUR,
+) -> DataFrame:
+    """Folded sessions as windows with their aggregate."""
 
     def as_time(us: Column) -> Column:
         return F.timestamp_micros(us).cast(time_type)
 
-    return sessions.select(
+    return runs.select(
         *keys,
         as_time(F.col("_first")).alias(BOUNDS[0]),
-        as_time(F.col("_last") + gap_us).alias(BOUNDS[1]),
+        as_time(F.col("_last") + micros(gap)).alias(BOUNDS[1]),
         combine.result().alias(name),
     )
 

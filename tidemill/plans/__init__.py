@@ -1,4 +1,7 @@
 from tidemill.plans.weather import (
+    COMPLETE_DAILY_MEANS,
+    COMPLETE_MOVING_MEANS,
+    COMPLETE_RAIN_RUNS,
     daily_mean_lines,
     daily_means,
     json_lines,
@@ -8,11 +11,15 @@ from tidemill.plans.weather import (
     rain_run_lines,
     rain_runs,
     refreshing_mean_lines,
+    start_stretch_job,
     temperatures,
     timed_readings,
 )
 
 __all__ = [
+    "COMPLETE_DAILY_MEANS",
+    "COMPLETE_MOVING_MEANS",
+    "COMPLETE_RAIN_RUNS",
     "daily_mean_lines",
     "daily_means",
     "json_lines",
@@ -22,6 +29,7 @@ __all__ = [
     "rain_run_lines",
     "rain_runs",
     "refreshing_mean_lines",
+    "start_stretch_job",
     "temperatures",
     "timed_readings",
 ]

@@ -82,10 +82,15 @@ from tidemill.sources import (
     write_tsv,
 )
 from tidemill.streaming import (
+    Stretch,
+    closed_sessions,
     drain_timers_to_table,
     drain_to_table,
+    late_rows,
+    start_complete_stretches,
     start_pane_means,
     timer_pane_means,
+    write_numbered,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -753,6 +758,105 @@ def stream_skewed_partitions(spark, sf_dir):
     return drain_to_table(spark, _mean_and_count(tumbling_combine, timed), "skewed")
 
 
+_PARTITIONS, _BEHIND = 4, 3
+_SLOWEST = f"(SELECT min(t) FROM (SELECT max(ts) AS t FROM events GROUP BY event_id % {_PARTITIONS}))"
+
+
+def _uneven_partitions(spark, sf_dir) -> DataFrame:
+    """Events of four partitions, of which the last comes three slices after the others."""
+    events = table(spark, sf_dir, "events").withColumns(
+        {"ts": instant("ts"), "partition": (F.col("event_id") % _PARTITIONS).cast("int"), "topic": F.lit("events")}
+    )
+    path = scratch_dir(spark, "partitions")
+    slow = F.when(F.col("partition") == _PARTITIONS - 1, _BEHIND).otherwise(0)
+    write_slices(events, slice_of(events, "ts") + slow, path, SLICES + _BEHIND)
+    return read_slices(spark, path, events.schema)
+
+
+def _by_stretches(
+    spark, rows: DataFrame, windows: Callable[[DataFrame, Stretch, str], DataFrame], **how
+) -> DataFrame:
+    """What ``windows`` makes of the stretches that all partitions have passed."""
+    folder = scratch_dir(spark, "stretches")
+
+    def write(complete: DataFrame, stretch: Stretch) -> None:
+        write_numbered(windows(complete, stretch, f"{folder}/open"), f"{folder}/table", stretch.number)
+
+    expected = [("events", i) for i in range(_PARTITIONS)]
+    start_complete_stretches(
+        rows, write, folder, expected=expected, time="ts", available_now=True, **how
+    ).awaitTermination()
+    return spark.read.option("basePath", f"{folder}/table").parquet(f"{folder}/table/batch=*").drop("batch")
+
+
+@query(f"SELECT * FROM ({_DAILY}) WHERE s + INTERVAL 1 DAY <= {_SLOWEST}")
+def stream_partition_watermark(spark, sf_dir):
+    """One partition is three slices behind. Without any delay, no row is lost: days are released
+    when the slowest partition has passed them."""
+    return _by_stretches(
+        spark, _uneven_partitions(spark, sf_dir),
+        lambda rows, *_: _mean_and_count(tumbling_combine, rows), cell=DAY, offset=15 * HOUR,
+    )
+
+
+@query(f"SELECT * FROM ({_SLIDING}) WHERE s + INTERVAL 3 HOUR <= date_trunc('hour', {_SLOWEST})")
+def stream_partition_sliding(spark, sf_dir):
+    """Overlapping windows look back into what an earlier stretch has released."""
+
+    def closed(rows: DataFrame, stretch: Stretch, _: str) -> DataFrame:
+        out = _mean_and_count(sliding_combine, rows)
+        return out.filter(stretch.closes(F.col("s") + F.expr("INTERVAL 3 HOURS")))
+
+    return _by_stretches(spark, _uneven_partitions(spark, sf_dir), closed, lookback=2 * HOUR)
+
+
+@query(
+    _sessions_sql("SELECT event_type AS k, ts AS t FROM events", "event_type", "INTERVAL 30 MINUTE",
+                  f"WHERE stopped < date_trunc('hour', {_SLOWEST})")
+)
+def stream_session_hot_keys(spark, sf_dir):
+    """Five keys on a stream: rows are folded into cells before they meet at their key, and
+    open sessions are carried on as one row each."""
+
+    def closed(rows: DataFrame, stretch: Stretch, open_folder: str) -> DataFrame:
+        out = closed_sessions(rows, stretch, open_folder, "ts", "value", keys=["event_type"], gap=HOUR / 2)
+        return _session_columns(out, "event_type")
+
+    return _by_stretches(spark, _uneven_partitions(spark, sf_dir), closed)
+
+
+@query(
+    f"""
+    WITH edge AS (SELECT time_bucket(INTERVAL 1 DAY, max(ts), INTERVAL 15 HOUR) AS t FROM events)
+    SELECT event_id, TRUE AS late, t AS missed FROM events, edge WHERE ts < {_MIDDLE}
+    UNION ALL SELECT event_id, FALSE, NULL FROM events, edge WHERE ts >= {_MIDDLE} AND ts < t
+    """
+)
+def stream_late_side_output(spark, sf_dir):
+    """The second half of the month first: what the first half brings is late, each row set
+    apart with the time up to which all had been released. Late and released rows, and those of
+    the day still open, are all rows."""
+    base = scratch_dir(spark, "side-output")
+    rows = table(spark, sf_dir, "events").withColumns({"ts": instant("ts"), "partition": F.lit(0)})
+    middle = F.to_timestamp(F.lit("2024-01-16 00:00:00"))
+
+    def write(complete: DataFrame, stretch: Stretch) -> None:
+        write_numbered(complete.select("event_id"), f"{base}/table", stretch.number)
+
+    for half, part in (("second", rows.filter(F.col("ts") >= middle)),
+                       ("first", rows.filter(F.col("ts") < middle))):
+        write_slices(part, slice_of(part, "ts", 3), f"{base}/in/{half}", 3)
+        start_complete_stretches(
+            read_slices(spark, f"{base}/in/*", rows.schema), write, base, partition=["partition"], time="ts",
+            cell=DAY, offset=15 * HOUR, available_now=True,
+        ).awaitTermination()
+    kept = spark.read.parquet(f"{base}/table").select(
+        "event_id", F.lit(False).alias("late"), F.lit(None).cast("timestamp_ntz").alias("missed")
+    )
+    late = late_rows(spark, base, rows.schema).select("event_id", F.lit(True).alias("late"), ntz("missed").alias("missed"))
+    return late.union(kept)
+
+
 @query(
     """
     WITH r AS (SELECT 'orders' AS source, o_orderdate AS ts FROM orders

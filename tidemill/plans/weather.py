@@ -1,6 +1,6 @@
 """The seven weather jobs, each from messages (key, value, topic) to its output.
 
-All of them take a batch or a stream. Windowed jobs group by ``topic``, one topic
+All of them take a batch or a stream, of messages or of records parsed before. Windowed jobs group by ``topic``, one topic
 per station, so stations are worked on side by side; for a single topic the
 result is that of one global group. ``rules`` are the parsing rules of
 :func:`tidemill.operators.parse_json_records`.
@@ -8,10 +8,13 @@ result is that of one global group. ``rules`` are the parsing rules of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions import (
     daily_mean_line,
@@ -35,12 +38,16 @@ from tidemill.operators import (
     with_watermark,
 )
 from tidemill.operators.eventtime import DEFAULT_DELAY
+from tidemill.operators.windows import DAY, HOUR
 from tidemill.schema import EVENT_TIME, RAINFALL, TEMPERATURE, TIMESTAMP
+from tidemill.streaming.complete import Stretch, closed_sessions, start_complete_stretches
 
 STATION_KEY = "topic"
 
 
 def _parsed(messages: DataFrame, rules: dict, *, timed: bool = False) -> DataFrame:
+    if "value" not in messages.columns:  # parsed before
+        return messages
     if rules.get("on_malformed") == "quarantine":
         return accepted(parse_weather(messages, timed=timed, **rules))
     return parse_weather(messages, timed=timed, **rules)
@@ -109,6 +116,50 @@ def rain_run_lines(
     return runs.select(STATION_KEY, line.alias("value"))
 
 
+@dataclass(frozen=True)
+class StretchJob:
+    """A windowed job on stretches that all partitions have passed: ``windows`` gives those
+    that are complete since a stretch, from its readings and a folder for open ones."""
+
+    windows: Callable[[DataFrame, Stretch, str], DataFrame]
+    cell: timedelta = HOUR
+    offset: timedelta = timedelta(0)
+    lookback: timedelta = timedelta(0)
+
+
+def _complete_moving_means(readings: DataFrame, stretch: Stretch, open_folder: str) -> DataFrame:
+    return moving_means(readings).filter(stretch.closes(F.col("window_end")))
+
+
+def _complete_rain_runs(readings: DataFrame, stretch: Stretch, open_folder: str) -> DataFrame:
+    rainfall = extract(readings, RAINFALL, STATION_KEY, EVENT_TIME)
+    return closed_sessions(
+        keep_above(rainfall, "reading", 0.0), stretch, open_folder, EVENT_TIME, "reading",
+        keys=[STATION_KEY], name="hours",
+    )
+
+
+# Cells are the days and hours that the jobs' windows begin and end at.
+COMPLETE_DAILY_MEANS = StretchJob(lambda readings, stretch, _: daily_means(readings), cell=DAY, offset=15 * HOUR)
+COMPLETE_MOVING_MEANS = StretchJob(_complete_moving_means, lookback=2 * HOUR)
+COMPLETE_RAIN_RUNS = StretchJob(_complete_rain_runs)
+
+
+def start_stretch_job(
+    job: StretchJob, readings: DataFrame, write: Callable[[DataFrame, int], None], folder: str, **how
+) -> StreamingQuery:
+    """Run a windowed job with a watermark for each (topic, partition). ``write`` gets the
+    complete windows and the number of the micro-batch; ``how`` goes to
+    :func:`tidemill.streaming.start_complete_stretches`."""
+
+    def take(complete: DataFrame, stretch: Stretch) -> None:
+        write(job.windows(complete, stretch, f"{folder}/open"), stretch.number)
+
+    return start_complete_stretches(
+        readings, take, folder, cell=job.cell, offset=job.offset, lookback=job.lookback, **how
+    )
+
+
 def temperatures(messages: DataFrame, **rules) -> DataFrame:
     """The input of the refreshing mean. It needs no event time, but a record whose
     timestamp cannot be read is as wrong here as anywhere."""

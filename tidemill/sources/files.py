@@ -100,9 +100,12 @@ def as_messages(readings: DataFrame) -> DataFrame:
     )
 
 
-def message_lines(spark: SparkSession, path: str, *, stream: bool = True, **options) -> DataFrame:
+def message_lines(
+    spark: SparkSession, path: str, *, stream: bool = True, partitions: bool = False, **options
+) -> DataFrame:
     """Text files with one JSON message per line, as keyless records. The topic is
-    the name of the folder a file lies in: ``<path>/<topic>/<file>``."""
+    the name of the folder a file lies in: ``<path>/<topic>/<file>``. With ``partitions``
+    a number that the file's name begins with is the partition, or else 0."""
     reader = spark.readStream if stream else spark.read
     lines = (
         reader.schema(T.StructType([T.StructField("value", T.StringType())]))
@@ -110,10 +113,12 @@ def message_lines(spark: SparkSession, path: str, *, stream: bool = True, **opti
         .text(f"{path.rstrip('/')}/*")
     )
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^\d+", 0).try_cast("int")
     return lines.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         folder.alias("topic"),
+        *([F.coalesce(number, F.lit(0)).alias("partition")] if partitions else []),
     )
 
 

@@ -34,9 +34,12 @@ class KafkaSource:
         return {**options, **self.extra}
 
 
-def read_kafka(spark: SparkSession, source: KafkaSource, *, stream: bool = True) -> DataFrame:
+def read_kafka(
+    spark: SparkSession, source: KafkaSource, *, stream: bool = True, partitions: bool = False
+) -> DataFrame:
     """Key, value and topic of each record; the other metadata is dropped. The
-    topic stays, since it names the station that windows are grouped by.
+    topic stays, since it names the station that windows are grouped by. ``partitions``
+    keeps the number of the topic's partition, too, for watermarks of their own.
 
     Needs the ``spark-sql-kafka`` connector on the class path.
     """
@@ -44,4 +47,5 @@ def read_kafka(spark: SparkSession, source: KafkaSource, *, stream: bool = True)
     options = source.options()
     if not stream and source.starting_offsets == "latest":
         options["startingOffsets"] = "earliest"
-    return reader.format("kafka").options(**options).load().select("key", "value", "topic")
+    kept = ["key", "value", "topic", *(["partition"] if partitions else [])]
+    return reader.format("kafka").options(**options).load().select(*kept)

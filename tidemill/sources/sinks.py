@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -85,6 +85,13 @@ def start_file_sink(
     return start_query(writer, trigger=trigger, available_now=available_now)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder where there is none, wherever Spark can write."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def write_tsv(
     df: DataFrame, path: str, *, mode: str = "errorifexists", folders: str | None = None
 ) -> None:
