@@ -82,14 +82,17 @@ def summary(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     return total / np.sqrt(length), np.sqrt(np.add.reduceat((x - mean) ** 2, limits[:-1], axis=1))
 
 
-def exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Inner products of row i of ``x`` and row i of ``y``; Python's integers where doubles
-    could round, and results beyond 64 bits as the nearest that fits."""
-    if x.size and float(np.abs(x).max()) * float(np.abs(y).max()) * x.shape[1] >= _EXACT:
-        most = 2**63 - 1
-        sums = [sum(int(a) * int(b) for a, b in zip(p, q)) for p, q in zip(x.tolist(), y.tolist())]
-        return np.array([max(-most, min(most, s)) for s in sums], np.int64)
-    return np.einsum("ij,ij->i", x, y).astype(np.int64)
+def products(x: np.ndarray, y: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of ``x`` and of ``y``, right where ``wanted``: all at once, or one
+    by one where few are left."""
+    if wanted.sum() * 8 > wanted.size:
+        return x @ y.T
+    out = np.zeros(wanted.shape)
+    i, j = np.nonzero(wanted)
+    for at in range(0, len(i), 1 << 16):
+        p, q = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        out[p, q] = np.einsum("ij,ij->i", x[p], y[q])
+    return out
 
 
 class Block:
@@ -101,40 +104,34 @@ class Block:
         with np.errstate(over="ignore", invalid="ignore"):
             self.parts = [summary(x, n) for n in levels(x.shape[1])]
 
-    def bounds(self, rows: slice, other: Block, level: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest inner product of pairs (i of the strip ``rows``, j of ``other``)."""
+    def bounds(self, rows: slice, other: Block, level: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest inner products of the strip ``rows`` with ``other``."""
         if self.size > _WIDE or other.size > _WIDE:
-            return np.full(len(i), -np.inf), np.full(len(i), np.inf)
+            return np.full(wanted.shape, -np.inf), np.full(wanted.shape, np.inf)
         (m, d), (n, e) = self.parts[level], other.parts[level]
-        m, d = m[rows], d[rows]
-        if len(i) * 8 > len(m) * len(n):
-            middle, away = (m @ n.T)[i, j], (d @ e.T)[i, j]
-        else:
-            middle, away = np.empty(len(i)), np.empty(len(i))
-            for at in range(0, len(i), 1 << 16):
-                p, q = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-                middle[at : at + len(p)] = np.einsum("ij,ij->i", m[p], n[q])
-                away[at : at + len(p)] = np.einsum("ij,ij->i", d[p], e[q])
+        middle, away = products(m[rows], n, wanted), products(d[rows], e, wanted)
         # Rounding stays far below this share of the largest possible sum.
-        slack = 1 + 1e-12 * self.size * other.size * (self.x.shape[1] + 1) ** 2
-        return middle - away - slack, middle + away + slack
-
-    def scores(self, rows: slice, other: Block, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        out = np.empty(len(i), np.int64)
-        for at in range(0, len(i), 1 << 16):
-            p, q = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-            out[at : at + len(p)] = exact(self.x[rows][p], other.x[q])
+        away += 1 + 1e-12 * self.size * other.size * (self.x.shape[1] + 1) ** 2
+        return middle - away, middle + away
+
+    def scores(self, rows: slice, other: Block, wanted: np.ndarray) -> np.ndarray:
+        """Inner products in whole numbers: Python's where doubles could round, and results
+        beyond 64 bits as the nearest that fits."""
+        if self.size * other.size * self.x.shape[1] < _EXACT:
+            return products(self.x[rows], other.x, wanted).astype(np.int64)
+        most, out = 2**63 - 1, np.zeros(wanted.shape, np.int64)
+        x = [[int(v) for v in row] for row in self.x[rows].tolist()]
+        y = {j: [int(v) for v in other.x[j].tolist()] for j in np.flatnonzero(wanted.any(0)).tolist()}
+        for i, j in np.argwhere(wanted).tolist():
+            out[i, j] = max(-most, min(most, sum(p * q for p, q in zip(x[i], y[j]))))
         return out
 
 
-def nth_largest(value: np.ndarray, i: np.ndarray, n: int, count: int) -> np.ndarray:
-    """For each of ``count`` groups, its n-th largest value; -inf where it has fewer."""
-    order = np.lexsort((-value, i))
-    at = np.searchsorted(i[order], np.arange(count)) + n - 1
-    ok = (at < len(i)) & (i[order][np.minimum(at, max(len(i) - 1, 0))] == np.arange(count)) if len(i) else np.zeros(count, bool)
-    out = np.full(count, -np.inf)
-    out[ok] = value[order][at[ok]]
-    return out
+def nth_largest(value: np.ndarray, n: int) -> np.ndarray:
+    """The n-th largest value of each row, as a column; the least there is where it has fewer."""
+    if value.shape[1] < n:
+        return np.full((len(value), 1), -np.inf)
+    return np.partition(value, value.shape[1] - n, axis=1)[:, value.shape[1] - n, None]
 
 
 def _positives(most: int):
@@ -149,15 +146,14 @@ def _positives(most: int):
         out = []
         for at in range(0, len(own), STRIP):
             strip = slice(at, at + STRIP)
-            count = len(own[strip])
-            i, j = np.nonzero(np.arange(len(rows))[None, :] != own[strip][:, None])
+            open_ = np.arange(len(rows))[None, :] != own[strip][:, None]
             for level in range(len(a.parts)):
-                low, high = a.bounds(strip, b, level, i, j)
-                stay = high >= nth_largest(low, i, most, count)[i]
-                i, j = i[stay], j[stay]
-            s = a.scores(strip, b, i, j)
-            stay = s >= nth_largest(s.astype(float), i, most, count)[i]  # ties are settled by key, later
-            out.append((i[stay] + at, j[stay], s[stay]))
+                least, greatest = a.bounds(strip, b, level, open_)
+                open_ &= greatest >= nth_largest(np.where(open_, least, -np.inf), most)
+            s = a.scores(strip, b, open_)
+            # Ties are settled by key, later.
+            i, j = np.nonzero(open_ & (s >= nth_largest(np.where(open_, s, -np.inf), most)))
+            out.append((i + at, j, s[i, j]))
         i, j, s = (np.concatenate(x) if out else np.zeros(0, np.int64) for x in (zip(*out) if out else ((), (), ())))
         return _first(asks, rows, i, np.zeros(len(i), np.int32), j, s, most)
 
@@ -201,25 +197,29 @@ def _negatives(most: int, low: int, high: int):
         for at in range(0, len(own), STRIP):
             strip = slice(at, at + STRIP)
             mine = spans[strip]
-            open_ = np.array([any(x <= y for x, y in s) for s in mine], bool)
-            i, j = np.nonzero((label[None, :] != own[strip][:, None]) & open_[:, None])
-            places = max((len(s) for s in mine), default=0)
-            span = np.array([s + [(1, 0)] * (places - len(s)) for s in mine], np.int64).reshape(len(mine), places, 2)
+            places = max((len(x) for x in mine), default=0)
+            span = np.array([x + [(1, 0)] * (places - len(x)) for x in mine], np.int64).reshape(len(mine), places, 2)
+            span = [(span[:, p, :1], span[:, p, 1:], span[:, p, :1] <= span[:, p, 1:]) for p in range(places)]
+            open_ = label[None, :] != own[strip][:, None]
             for level in range(len(a.parts)):
-                least, greatest = a.bounds(strip, b, level, i, j)
-                stay = np.zeros(len(i), bool)
-                for p in range(places):
-                    first, last = span[i, p, 0], span[i, p, 1]
-                    sure = (least >= first) & (greatest <= last)
-                    floor = nth_largest(np.where(sure, least, -np.inf), i, most, len(mine))
-                    stay |= (first <= last) & (greatest >= first) & (least <= last) & (greatest >= floor[i])
-                i, j = i[stay], j[stay]
-            s = a.scores(strip, b, i, j)
-            for p in range(places):
-                ok = (s >= span[i, p, 0]) & (s <= span[i, p, 1])
-                x, y, z = i[ok], j[ok], s[ok]
-                stay = z >= nth_largest(z.astype(float), x, most, len(mine))[x]
-                out.append((x[stay] + at, np.full(stay.sum(), p), y[stay], z[stay]))
+                least, greatest = a.bounds(strip, b, level, open_)
+                stay = np.zeros(open_.shape, bool)
+                for first, last, any_ in span:
+                    floor = first
+                    sure = open_ & (least >= first) & (greatest <= last)
+                    if sure.any():
+                        floor = np.maximum(first, nth_largest(np.where(sure, least, -np.inf), most))
+                    stay |= any_ & (greatest >= floor) & (least <= last)
+                open_ &= stay
+            s = a.scores(strip, b, open_)
+            least = np.iinfo(np.int64).min
+            s[~open_] = least
+            rising = np.sort(s, axis=1)
+            for p, (first, last, _) in enumerate(span):
+                end = (rising <= last).sum(1, keepdims=True)
+                nth = np.take_along_axis(rising, np.maximum(end - most, 0), 1)
+                i, j = np.nonzero((s >= np.maximum(np.where(end < most, least + 1, nth), first)) & (s <= last) & open_)
+                out.append((i + at, np.full(len(i), p), j, s[i, j]))
         i, p, j, s = (np.concatenate(x) if out else np.zeros(0, np.int64) for x in (zip(*out) if out else ((), (), (), ())))
         return _first(asks, rows, i, p, j, s, most)
 
