@@ -7,10 +7,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests import weather
+from tidemill.jobs import main
 from tidemill.operators import clean_observations, parse_weather
 from tidemill.sources import (
     KafkaSource,
     as_messages,
+    common_root,
     read_kafka,
     read_raw_observations,
     read_weather_tsv,
@@ -282,3 +284,56 @@ def test_made_up_weather_is_varied():
     rows = weather.hourly()
     assert len(weather.rain_runs(rows)) > 5
     assert len(weather.daily(rows)) == 6
+
+
+def _download(folder, name="20230101-20230131-sapporo.csv"):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_bytes("\r\n".join([*RAW_LINES, ""]).encode("cp932"))
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    for folder in ("a", "b b+%41"):
+        _download(tmp_path / "raw" / folder)
+    raw = read_raw_observations(spark, f"{tmp_path}/raw/*", root=f"{tmp_path}/raw")
+    cleaned = clean_observations(raw, keep_file=True)
+    names = {f"{folder}/20230101-20230131-sapporo" for folder in ("a", "b b+%41")}
+    assert {r["file"] for r in cleaned.collect()} == names
+    write_tsv(cleaned, f"{tmp_path}/tidy", folders="file")
+    loaded = read_weather_tsv(spark, f"{tmp_path}/tidy")
+    assert loaded.count() == 2 * len(CLEAN)
+    assert {(r["station"], r["season"]) for r in loaded.collect()} == {("Sapporo", "Winter")}
+    with pytest.raises(PySparkException, match="not below"):
+        read_raw_observations(spark, f"{tmp_path}/raw/a", root="/elsewhere").collect()
+
+
+def test_cleaning_with_a_checkpoint_takes_new_files_only(spark, tmp_path):
+    argv = ["clean", "--in-path", f"{tmp_path}/raw/*", "--out-path", f"{tmp_path}/tidy", "--checkpoint", f"{tmp_path}/c"]
+    for folder, files in (("a", 1), ("b", 2)):
+        _download(tmp_path / "raw" / folder)
+        main(argv, spark)
+        assert spark.read.option("header", True).option("sep", "\t").csv(f"{tmp_path}/tidy").count() == files * len(CLEAN)
+    main(argv, spark)
+    folders = {p.parent.name for p in (tmp_path / "tidy").glob("*/*.csv")}
+    assert folders == {f"file={f}%2F20230101-20230131-sapporo" for f in "ab"}
+
+
+@pytest.mark.parametrize(
+    "paths, root",
+    [
+        (["/x/raw"], "/x/raw"), (["/x/raw/"], "/x/raw"), (["/x/raw/*.csv"], "/x/raw"), (["/x/raw/*/a*"], "/x/raw"),
+        (["/x/raw/f.csv"], "/x/raw"), (["/x/a", "/x/b"], "/x"), (["s3a://k/x/a", "s3a://k/x/b/f.csv"], "s3a://k/x"),
+    ],
+)
+def test_common_root(paths, root):
+    assert common_root(paths) == root
+
+
+def test_a_file_without_a_header_fails(spark, tmp_path):
+    (tmp_path / "20230101-20230131-a.tsv").write_text(f"{HEADER}\n2023-01-01T00:00:00.000+09:00\t1\t2\n", encoding="utf-8")
+    swapped = "\t".join(HEADER.split("\t")[::-1])
+    (tmp_path / "20230101-20230131-b.tsv").write_text(f"{swapped}\n2\t1\t2023-01-01T00:00:00.000+09:00\n", encoding="utf-8")
+    rows = read_weather_tsv(spark, str(tmp_path), headers="each").collect()
+    assert {(r["station"], r["temperature_c"], r["rainfall_mm"]) for r in rows} == {("A", 1.0, 2.0), ("B", 1.0, 2.0)}
+    (tmp_path / "20230101-20230131-c.tsv").write_text("1\t2\t3\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="no line with the columns"):
+        read_weather_tsv(spark, str(tmp_path), headers="each")

@@ -45,12 +45,14 @@ from tidemill.schema import FILE
 from tidemill.session import build_session
 from tidemill.sources import (
     KafkaSource,
+    common_root,
     message_lines,
     read_kafka,
     read_raw_observations,
     read_weather_tsv,
     start_file_sink,
     start_kafka_sink,
+    start_tsv_sink,
     to_topic_messages,
     to_value_messages,
     write_parquet,
@@ -144,6 +146,10 @@ def _parser() -> argparse.ArgumentParser:
     clean.add_argument("--in-path", nargs="+", required=True)
     clean.add_argument("--out-path", required=True)
     clean.add_argument("--encoding", default="ISO-8859-1")
+    clean.add_argument(
+        "--checkpoint", help="shared folder that lists the files cleaned: a later run takes new ones only"
+    )
+    clean.add_argument("--trigger", help="with --checkpoint: go on as files arrive, so often")
     load = jobs.add_parser("load", help="hourly TSV files -> one labelled Parquet table")
     load.add_argument("--in-path", nargs="+", required=True)
     load.add_argument("--out-path", required=True)
@@ -272,6 +278,20 @@ def _start_refreshing(args: argparse.Namespace, readings: DataFrame) -> Streamin
     )
 
 
+def _clean(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Each file into a folder of its name, or of its path below what all inputs share."""
+    how = {"encoding": args.encoding, "root": common_root(args.in_path)}
+    if not args.checkpoint:
+        raw = read_raw_observations(spark, args.in_path, **how)
+        write_tsv(clean_observations(raw, keep_file=True), args.out_path, folders=FILE)
+        return
+    raw = read_raw_observations(spark, args.in_path[0], stream=True, **how)
+    start_tsv_sink(
+        clean_observations(raw, keep_file=True), args.out_path, args.checkpoint, folders=FILE,
+        trigger=args.trigger, available_now=not args.trigger,
+    ).awaitTermination()
+
+
 def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     """Start the queries of a streaming job."""
     rules = {
@@ -313,10 +333,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     args = parser.parse_args(argv)
     if args.job in STREAM_JOBS:
         _check(parser, args)
+    if args.job == "clean" and args.checkpoint and len(args.in_path) > 1:
+        parser.error("cleaning with a checkpoint takes one path: a folder or a pattern")
     spark = spark or build_session(f"tidemill {args.job}")
     if args.job == "clean":
-        raw = read_raw_observations(spark, args.in_path, encoding=args.encoding)
-        write_tsv(clean_observations(raw, keep_file=True), args.out_path, folders=FILE)
+        _clean(spark, args)
     elif args.job == "load":
         write_parquet(read_weather_tsv(spark, args.in_path), args.out_path)
     else:

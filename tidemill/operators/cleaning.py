@@ -18,7 +18,7 @@ FILE_DAYS = r"^(\d{8})-(\d{8})"
 
 
 def _named_day(file_name: Column, group: int) -> Column:
-    text = F.regexp_extract(file_name, FILE_DAYS, group)
+    text = F.regexp_extract(F.substring_index(file_name, "/", -1), FILE_DAYS, group)
     unnamed = F.raise_error(F.concat(F.lit("no days in file name: "), file_name)).cast("date")
     return F.when(text == "", unnamed).otherwise(F.to_date(text, "yyyyMMdd"))
 
@@ -31,8 +31,8 @@ def clean_observations(
     keep_file: bool = False,
 ) -> DataFrame:
     """Keep the data rows of the covered days, in three renamed text columns; with
-    ``keep_file`` also ``file``, the file's name without its suffix, which says the
-    station.
+    ``keep_file`` also ``file``, the file's name (or path below a root) without its suffix,
+    which says the station.
 
     Preamble, header and sub-header lines are told by their first column, not by
     position, so a split of a large file needs no neighbour. A line that begins with
@@ -58,5 +58,5 @@ def clean_observations(
     values = (local_datetime_text(F.col("_instant")), F.col("c1"), F.col("c4"))
     named = [v.alias(name) for v, name in zip(values, READING_FIELDS, strict=True)]
     if keep_file:
-        named.append(F.regexp_replace("file_name", r"\.[^.]*$", "").alias(FILE))
+        named.append(F.regexp_replace("file_name", r"\.[^./]*$", "").alias(FILE))
     return kept.select(*named)

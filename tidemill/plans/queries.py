@@ -76,6 +76,7 @@ from tidemill.sources import (
     read_raw_observations,
     read_weather_tsv,
     start_file_sink,
+    start_tsv_sink,
     to_keyed_messages,
     to_topic_messages,
     to_value_messages,
@@ -963,6 +964,67 @@ def tsv_roundtrip(spark, sf_dir):
     return read_weather_tsv(spark, path).select(TIMESTAMP, TEMPERATURE, "local_time")
 
 
+@query(
+    """
+    SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || '+09:00' AS "timestamp", CAST(value AS FLOAT) AS temperature_c,
+           CASE WHEN event_id % 2 = 0 THEN 'Osaka' ELSE 'Nagoya' END AS station
+    FROM events
+    """
+)
+def tsv_two_layouts(spark, sf_dir):
+    """Files whose columns stand in two orders, in one load."""
+    base = scratch_dir(spark, "layouts")
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    columns = {
+        "timestamp": F.concat(stamp, F.lit("+09:00")),
+        "temperature [°C]": F.col("value"),
+        "rainfall [mm]": F.get_json_object("props", "$.k"),
+    }
+    names = list(columns)
+    for turn, (station, order) in enumerate((("osaka", names), ("nagoya", names[::-1]))):
+        rows = table(spark, sf_dir, "events").filter(F.col("event_id") % 2 == turn)
+        write_tsv(rows.select(*[columns[c].alias(c) for c in order]), f"{base}/20240101-20240131-{station}")
+    return read_weather_tsv(spark, f"{base}/*", headers="each").select(TIMESTAMP, TEMPERATURE, "station")
+
+
+@query(
+    f"""
+    SELECT CASE event_id % 2 WHEN 0 THEN 'a' ELSE 'b' END || '/20240101-20240115-osaka' AS file,
+           strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S.%g') || '+09:00' AS "timestamp",
+           CAST(event_id AS VARCHAR) AS temperature
+    FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-16'
+    """
+)
+def stream_clean_raw(spark, sf_dir):
+    """Raw files in Shift-JIS bytes, of one name in two folders, cleaned as they arrive: the second
+    run of the stream takes the second folder only."""
+    base = scratch_dir(spark, "arriving")
+    day = F.date_format("ts", "yyyy/M/d H:mm:ss")
+    line = F.concat(day, F.lit(","), F.col("event_id").cast("string"), F.lit(",8,1,0,1,8,1"))
+    above = ["ダウンロードした時刻：2024/02/01 12:00:00", "", "年月日時,気温(℃),気温(℃),気温(℃),降水量(mm)"]
+    events = table(spark, sf_dir, "events")
+    for turn, folder in enumerate("ab"):
+        rows = events.filter(F.col("event_id") % 2 == turn).select(F.encode(line, "US-ASCII").alias("line"))
+        header = spark.createDataFrame([(x.encode("cp932"),) for x in above], "line binary")
+        # One file of bytes below the name that a download has.
+        _write_bytes(header.union(rows), f"{base}/raw/{folder}/20240101-20240115-osaka.csv")
+        raw = read_raw_observations(spark, f"{base}/raw/*/*", stream=True, root=f"{base}/raw")
+        # Spark wrote the file as a folder of parts, which the name is taken from.
+        raw = raw.withColumn("file_name", F.regexp_replace("file_name", "/[^/]*$", ""))
+        start_tsv_sink(
+            clean_observations(raw, keep_file=True), f"{base}/tidy", f"{base}/checkpoint", folders=FILE,
+            available_now=True,
+        ).awaitTermination()
+    tidy = spark.read.option("sep", "\t").option("header", True).csv(f"{base}/tidy")
+    return tidy.select("file", "timestamp", F.col("temperature [°C]").alias("temperature"))
+
+
+def _write_bytes(lines: DataFrame, path: str) -> None:
+    """Lines of bytes as text files, with CRLF. Every byte is one character of Latin-1."""
+    text = lines.select(F.decode("line", "ISO-8859-1").alias("value"))
+    text.coalesce(2).write.option("lineSep", "\r\n").option("encoding", "ISO-8859-1").text(path)
+
+
 @query(
     """
     SELECT 'documents' AS label, text FROM documents

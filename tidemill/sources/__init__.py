@@ -6,11 +6,13 @@ from tidemill.sources.files import (
     with_file_labels,
 )
 from tidemill.sources.kafka import KafkaSource, read_kafka
-from tidemill.sources.raw import read_raw_observations
+from tidemill.sources.raw import common_root, read_raw_observations
 from tidemill.sources.sinks import (
+    make_folder,
     start_file_sink,
     start_kafka_sink,
     start_query,
+    start_tsv_sink,
     to_keyed_messages,
     to_topic_messages,
     to_value_messages,
@@ -21,6 +23,8 @@ from tidemill.sources.sinks import (
 __all__ = [
     "KafkaSource",
     "as_messages",
+    "common_root",
+    "make_folder",
     "message_lines",
     "read_kafka",
     "read_raw_observations",
@@ -28,6 +32,7 @@ __all__ = [
     "start_file_sink",
     "start_kafka_sink",
     "start_query",
+    "start_tsv_sink",
     "stream_parquet",
     "to_keyed_messages",
     "to_topic_messages",

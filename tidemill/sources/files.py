@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
+from itertools import permutations
+from typing import Literal
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +32,9 @@ from tidemill.schema import (
 )
 
 # Files are named <first day>-<last day>-<station>.tsv, and a season
-# is told by the month of the first day. Cleaned files lie in folders of that name.
-_NAME = r"(?:^|[/=])\d{4}(\d{2})\d{2}-\d{8}-([^./=]+)(?=[./]|$)"
+# is told by the month of the first day. Cleaned files lie in folders of that name, or of
+# the path that the file had, in which Spark writes %2F for a slash.
+_NAME = r"(?:^|[/=]|%2F)\d{4}(\d{2})\d{2}-\d{8}-([^./=]+)(?=[./]|$)"
 _SEASONS = ("Winter", "Spring", "Summer", "Autumn")
 
 
@@ -49,16 +54,27 @@ def with_file_labels(df: DataFrame, file_name: Column) -> DataFrame:
 
 
 def read_weather_tsv(
-    spark: SparkSession, paths: str | Sequence[str], *, stream: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    stream: bool = False,
+    headers: Literal["alike", "each"] = "alike",
 ) -> DataFrame:
     """Read any number of hourly TSV files (paths, folders or globs) as one labelled
     table. ``event_time`` is the true instant, ``local_time`` the wall-clock time.
 
     Columns are bound by the header: a batch takes the order of the first file, a
-    stream that of the format, and a file with another header fails the job.
+    stream that of the format, and a file with another header fails the job. With
+    ``headers="each"`` a batch binds the columns of each file by its own: one pass finds the
+    header lines, and files are then read together by the order of their columns, of which
+    there are six at most. A file without a header fails the job.
 
     A stream takes one path: a folder or a glob.
     """
+    if headers == "each":
+        if stream:
+            raise ValueError("a stream binds its files by the format's header")
+        return reduce(DataFrame.union, [read_weather_tsv(spark, same) for same in _by_header(spark, paths)])
     layout = {"sep": "\t", "header": True, "mode": "FAILFAST", "enforceSchema": False}
     types = dict(zip(READING_FIELDS, [f.dataType for f in READING_SCHEMA], strict=True))
     order = list(READING_FIELDS)
@@ -83,6 +99,22 @@ def read_weather_tsv(
     return with_file_labels(timed, F.col("_path")).drop("_path")
 
 
+def _by_header(spark: SparkSession, paths: str | Sequence[str]) -> list[list[str]]:
+    """The files with the same order of columns."""
+    orders = ["\t".join(order) for order in permutations(READING_FIELDS)]
+    lines = spark.read.text([paths] if isinstance(paths, str) else list(paths))
+    # A row of readings is no header, whatever its columns hold.
+    of_file = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.max(F.when(F.col("value").isin(orders), F.col("value"))).alias("header")
+    )
+    found: dict[str, list[str]] = {}
+    for row in of_file.collect():  # as many as the files, which the driver lists anyway
+        if row.header is None:
+            raise ValueError(f"no line with the columns {list(READING_FIELDS)}: {row.path}")
+        found.setdefault(row.header, []).append(unquote(row.path))
+    return list(found.values())
+
+
 def as_messages(readings: DataFrame) -> DataFrame:
     """Labelled readings in the layout of Kafka records, one JSON object each."""
     body = F.to_json(

@@ -101,5 +101,23 @@ def write_tsv(
     (writer.partitionBy(folders) if folders else writer).csv(path)
 
 
+def start_tsv_sink(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    folders: str,
+    trigger: str | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """What :func:`write_tsv` writes, as a stream: each row exactly once."""
+    writer = (
+        rows.writeStream.format("csv").outputMode("append").partitionBy(folders)
+        .option("sep", "\t").option("header", True)
+        .option("path", path).option("checkpointLocation", checkpoint)
+    )
+    return start_query(writer, trigger=trigger, available_now=available_now)
+
+
 def write_parquet(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
