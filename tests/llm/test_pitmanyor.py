@@ -85,6 +85,7 @@ def by_single_customers(learnt, texts, d, root_d, sweeps=60):
 def test_close_to_gibbs_by_single_customers(spark, monkeypatch):
     monkeypatch.setattr(pitmanyor, "BLOCK", 3000)
     monkeypatch.setattr(pitmanyor, "HOT", 100)
+    monkeypatch.setattr(pitmanyor, "PART", 1000)
     draw = random.Random(2)
     vocabulary = words(7, 60).split()
 
@@ -109,7 +110,8 @@ def test_close_to_gibbs_by_single_customers(spark, monkeypatch):
     expected = by_single_customers(learnt, texts, d, root_d)
     off = np.array([got[i].score - e for i, e in enumerate(expected)])
     length = np.array([len(tokens(t)) for t in texts])
-    assert np.abs(off / length)[:120].max() < 0.03  # of log10 a token
+    # log10 a token: both are samples, and short texts vary more.
+    assert np.abs(off / length)[:120].max() < 0.06 and np.abs(off / length)[:120].mean() < 0.01
     assert abs(off.sum() / length.sum()) < 0.003
     held = [i for i in range(0, 120, 3)]
     assert sum(got[i].score for i in held) > sum(got[i].base_score for i in held) + 100
@@ -128,6 +130,7 @@ def brute_base(rows, learns):
 @pytest.mark.parametrize("block", [16 << 20, 200])
 def test_counts_and_base_scores(spark, monkeypatch, block):
     monkeypatch.setattr(pitmanyor, "BLOCK", block)
+    monkeypatch.setattr(pitmanyor, "PART", block)
     rows = [r[:2] for r in odd_rows()] + [(20, "A a Ä ä\x0bb\x85c　d"), (21, "\x00 \x00\x00 a")]
     learns = [k is None or k % 2 == 0 for k, _ in rows]
     found = score_texts(documents(spark, rows), F.col("doc_id") % 2 == 0)

@@ -31,18 +31,19 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import mix64, saved
 from tidemill.llm.words import SPACED, Splitter, pieces
 
-BLOCK = 16 << 20  # bytes of text in a block
+BLOCK = 8 << 20  # bytes of text in a block
+PART = 3_000_000  # tokens for each owner and each shard
 HOT = 100_000  # occurrences from which a context is spread over shards
 STRENGTH = 1.0
 ROUNDS, SWEEPS = 2, 3  # exchanges with the root; sweeps in each
 HEAD = 32  # customers up to whose number all seatings are summed; beyond it they are proposed,
-STEPS = 10  # so often in each sweep
+STEPS = 8  # so often in each sweep
 END = np.uint64(0)
 _SENT = "dst long, src long, kind int, a binary, b binary, c binary, x double, y double"
 
@@ -84,17 +85,24 @@ def received(table: pa.Table, kind: int) -> list[tuple]:
     return sorted(((r[1], [unpack(v) for v in r[2:] if v is not None]) for r in rows if r[0] == kind), key=lambda r: r[0])
 
 
+def spread(rows: DataFrame, key: str = "dst") -> GroupedData:
+    """Groups in as many tasks as there are shuffle partitions: their rows are few and small,
+    but their work is not."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key).groupBy(key)
+
+
 def exchange(rows: DataFrame, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
-    return rows.groupBy("dst").applyInArrow(work, _SENT)
+    return spread(rows).applyInArrow(work, _SENT)
 
 
 # Kinds of rows.
 ASK, NAMED, VOCABULARY, CELLS, STATE, MARKS, TABLES, ROOT, PARENT, TOTALS, WORDS, VALUES = range(12)
 
 
-def read_blocks(df: DataFrame, key: str, text: str, learn: Column, parts: int) -> DataFrame:
+def read_blocks(df: DataFrame, key: str, text: str, learn: Column) -> DataFrame:
     """One row for each block: its documents, their tokens by the block's word numbers, and
-    for each word its hash, owner and number of occurrences to learn from."""
+    for each word its hash, the part of it that decides the owner, and its number of
+    occurrences to learn from."""
     kind = df.schema[key].dataType.simpleString()
 
     def block(split: Splitter, at: int, type_: pa.DataType, keys: list, learns: list, texts: list[bytes]) -> pa.RecordBatch:
@@ -115,10 +123,11 @@ def read_blocks(df: DataFrame, key: str, text: str, learn: Column, parts: int) -
         learnt = np.bincount(number, weights=np.repeat(np.array(learns, float), n), minlength=len(word))[by].astype(np.int64)
         arrays = [
             pa.array([at], pa.int64()), pa.array([keys], pa.list_(type_)), pa.array([learns], pa.list_(pa.bool_())),
-            *[pa.array([pack(x)], pa.binary()) for x in (n, place[number], (word[by] % np.uint64(parts)).astype(np.int64), learnt)],
-            pa.array([word[by].tobytes()], pa.binary()),
+            *[pa.array([pack(x)], pa.binary()) for x in (n, place[number], (word[by] >> np.uint64(40)).astype(np.int64), learnt)],
+            pa.array([word[by].tobytes()], pa.binary()), pa.array([len(token)], pa.int64()),
         ]
-        return pa.RecordBatch.from_arrays(arrays, ["block", "keys", "learns", "n", "tokens", "owners", "learnt", "hashes"])
+        names = ["block", "keys", "learns", "n", "tokens", "owners", "learnt", "hashes", "size"]
+        return pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, at = Splitter(SPACED), TaskContext.get().partitionId() << 32
@@ -138,7 +147,7 @@ def read_blocks(df: DataFrame, key: str, text: str, learn: Column, parts: int) -
     return rows.mapInArrow(
         run,
         f"block long, keys array<{kind}>, learns array<boolean>, n binary, tokens binary, owners binary, "
-        "learnt binary, hashes binary",
+        "learnt binary, hashes binary, size long",
     )
 
 
@@ -148,7 +157,7 @@ def _asks(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, owners, learnt, hashes in zip(*(c.to_pylist() for c in batch.columns)):
-                owner, count, word = unpack(owners), unpack(learnt), np.frombuffer(hashes, np.uint64)
+                owner, count, word = unpack(owners) % parts, unpack(learnt), np.frombuffer(hashes, np.uint64)
                 by = np.argsort(owner, kind="stable")
                 limits = np.searchsorted(owner[by], np.arange(parts + 1))
                 rows = [(o, at, ASK, [word[x], count[x]]) for o in range(parts) if len(x := by[limits[o] : limits[o + 1]])]
@@ -220,7 +229,7 @@ def _cells(parts: int):
             return sent([])
         at, n, tokens, owners, learns = (blocks[c][0].as_py() for c in ("block", "n", "tokens", "owners", "learns"))
         n = unpack(n)
-        name, count = names_of(named, NAMED, unpack(owners))
+        name, count = names_of(named, NAMED, unpack(owners) % parts)
         pairs = Pairs(unpack(tokens), n, name, count, parts)
         learnt = np.bincount(pairs.number, weights=np.repeat(np.array(learns, float), n), minlength=len(pairs.context))
         learnt = learnt[pairs.asked].astype(np.int64)
@@ -273,30 +282,32 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=8)
 def arrangements(d: float) -> np.ndarray:
-    """log of the summed weights, new tables left out, of all ways to seat c customers at t
-    tables one after the other (generalised Stirling numbers); for c and t up to HEAD."""
-    out = np.full((HEAD + 1, HEAD + 1), -np.inf)
-    out[1, 1] = 0.0
+    """Summed weights, new tables left out, of all ways to seat c customers at t tables one after
+    the other (generalised Stirling numbers), in proportion for each c; c and t up to HEAD."""
+    out = np.zeros((HEAD + 1, HEAD + 1))
+    out[1, 1] = 1.0
     t = np.arange(HEAD + 1)
     for c in range(1, HEAD):
-        with np.errstate(divide="ignore"):
-            stay = out[c] + np.log(np.maximum(c - d * t, 0))
-        out[c + 1, 1:] = np.logaddexp(stay[1:], out[c, :-1])
+        out[c + 1, 1:] = (out[c] * np.maximum(c - d * t, 0))[1:] + out[c, :-1]
+        out[c + 1] /= out[c + 1].max()
     return out
 
 
 def few(c: np.ndarray, other: np.ndarray, parent: np.ndarray, gain: float, d: float, draw: np.random.Generator) -> np.ndarray:
-    """Tables of up to HEAD customers, drawn from the conditional distribution. ``c`` falls."""
-    known, whole = arrangements(d), c.astype(np.int64)
-    weight = np.zeros(len(c))
-    best, t = np.full(len(c), -np.inf), np.ones(len(c))
-    for n in range(1, int(c[0]) + 1 if len(c) else 1):
-        k = np.searchsorted(-c, -n, "right")  # those with n or more
-        if n > 1:
-            weight[:k] += np.log((other[:k] + d * (n - 1)) * (parent[:k] + gain * (n - 1)))
-        value = weight[:k] + known[whole[:k], n] + draw.gumbel(size=k)
-        better = value > best[:k]
-        best[:k], t[:k] = np.where(better, value, best[:k]), np.where(better, n, t[:k])
+    """Tables of up to HEAD customers, drawn from the conditional distribution: the first of
+    exponential times whose rates are the weights. ``c`` falls."""
+    known, whole, falling = arrangements(d), c.astype(np.int64), -c
+    weight, t = np.ones(len(c)), np.ones(len(c))
+    first = draw.standard_exponential(len(c)) / known[:, 1][whole]
+    for n in range(2, int(c[0]) + 1 if len(c) else 2):
+        k = np.searchsorted(falling, -n, "right")  # those with n or more
+        # Beyond the limit all but surely each customer has a table.
+        weight[:k] *= np.minimum((other[:k] + d * (n - 1)) * (parent[:k] + gain * (n - 1)), 1e9)
+        with np.errstate(divide="ignore"):
+            time = draw.standard_exponential(k) / (weight[:k] * known[:, n][whole[:k]])
+        sooner = time < first[:k]
+        np.copyto(first[:k], time, where=sooner)
+        t[:k][sooner] = n
     return t
 
 
@@ -339,10 +350,11 @@ def seat(
     many = np.searchsorted(-c, -HEAD, "left")
     rest = slice(many, None)
     small = few(c[rest], other[rest], parent[rest], gain, d, draw)
-    large = (c[:many], other[:many], parent[:many], gain, d, draw)
-    t, weight = proposals(*large)
-    for _ in range(STEPS - 1):
-        s, more = proposals(*large)
+    # All steps' proposals at once, as none depends on the step before.
+    large = (np.tile(x[:many], STEPS) for x in (c, other, parent))
+    tables, weights = (x.reshape(STEPS, many) for x in proposals(*large, gain, d, draw))
+    t, weight = tables[0], weights[0]
+    for s, more in zip(tables[1:], weights[1:]):
         better = np.log(draw.random(many)) < more - weight
         t, weight = np.where(better, s, t), np.where(better, more, weight)
     return np.concatenate([t, small])
@@ -490,7 +502,7 @@ def _score(parts: int, d: float, totals: tuple[float, ...], learned: float):
         if not len(blocks):
             return _table([], schema)
         keys, n, tokens, owners = (blocks[c][0].as_py() for c in ("keys", "n", "tokens", "owners"))
-        n, tokens, owners = unpack(n), unpack(tokens), unpack(owners)
+        n, tokens, owners = unpack(n), unpack(tokens), unpack(owners) % parts
         name, count = names_of(told, WORDS, owners)
         mass, tables = names_of(told, PARENT, owners)
         pairs = Pairs(tokens, n, name, count, parts)
@@ -525,8 +537,8 @@ def score_texts(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "
     all words are unknown. Words are known by 64-bit hashes.
     """
     kind = df.schema[key].dataType.simpleString()
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = saved(read_blocks(df, key, text, learn, parts), "lm-blocks")
+    blocks = saved(read_blocks(df, key, text, learn), "lm-blocks")
+    parts = max(1, (blocks.agg(F.sum("size")).first()[0] or 0) // PART)
     asks = blocks.select("block", "owners", "learnt", "hashes").mapInArrow(_asks(parts), _SENT)
     named = saved(exchange(asks, _name(parts)), "lm-names")
     found = {r.dst: r for r in named.where(F.col("kind") == VOCABULARY).groupBy("dst").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()}
@@ -540,8 +552,8 @@ def score_texts(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "
 
     root_d = discount(found[-2].x, found[-2].y)
     told = named.where(F.col("kind") == NAMED)
-    by_block = blocks.select("block", "learns", "n", "tokens", "owners").groupBy("block")
-    cells = by_block.cogroup(told.groupBy("dst")).applyInArrow(_cells(parts), _SENT)
+    by_block = spread(blocks.select("block", "learns", "n", "tokens", "owners"), "block")
+    cells = by_block.cogroup(spread(told)).applyInArrow(_cells(parts), _SENT)
     shards = saved(exchange(cells, _gather), "lm-shards")
     states = shards.where(F.col("kind") == STATE)
     ones = states.agg(F.sum("x"), F.sum("y")).first()
@@ -549,7 +561,7 @@ def score_texts(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "
 
     totals, root_t, answers = None, size, named.limit(0)
     for round_ in range(ROUNDS + 1):
-        seats = states.groupBy("dst").cogroup(answers.groupBy("dst")).applyInArrow(_tables(parts, d, totals, round_), _SENT)
+        seats = spread(states).cogroup(spread(answers)).applyInArrow(_tables(parts, d, totals, round_), _SENT)
         seats = saved(seats, "lm-tables")
         roots = saved(exchange(seats.where(F.col("kind") == TABLES), _root(parts, size, root_t, root_d, round_)), "lm-root")
         sums = roots.where(F.col("kind") == ROOT).agg(F.sum("x"), F.sum("y")).first()
@@ -559,8 +571,8 @@ def score_texts(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "
 
     words = exchange(told.withColumns({"dst": F.col("src"), "src": F.col("dst")}).union(roots.where(F.col("kind") == ROOT)), _words)
     values = exchange(shards.where(F.col("kind").isin(STATE, MARKS)).union(seats.where(F.col("kind") == VALUES)), _values(d))
-    final = blocks.select("block", "keys", "n", "tokens", "owners").groupBy("block")
-    scored = final.cogroup(words.union(values).groupBy("dst")).applyInArrow(
+    final = spread(blocks.select("block", "keys", "n", "tokens", "owners"), "block")
+    scored = final.cogroup(spread(words.union(values))).applyInArrow(
         _score(parts, d, totals, learned), f"key {kind}, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select(
