@@ -67,6 +67,31 @@ def test_targets_are_met(spark, chunk):
     assert sorted(got, key=str) == sorted(mix_sources(df.repartition(3), chunk=chunk).collect(), key=str)
 
 
+def test_few_documents_of_unlike_sizes_meet_their_targets(spark):
+    """A large document must not be what is left open."""
+    draw = random.Random(8)
+    rows = [(i, words(i, draw.choice([3, 8, 20, 60, 150, 400, 900, 3000])), "abc"[i % 3]) for i in range(90)]
+    check(rows, mix_sources(documents(spark, rows)).collect(), 0.002)
+
+
+def test_texts_move_once(spark, capsys):
+    df = documents(spark, [(i, words(i, 5)) for i in range(20)])
+    take_copies(df, mix_sources(df)).explain("formatted")
+    plan = capsys.readouterr().out
+    text = f"c{df.columns.index('text')}#"
+    exchanges = [part for part in plan.split("\n\n") if " Exchange" in part.split("\n")[0] and text in part]
+    assert len(exchanges) == 1
+
+
+def test_rows_of_one_key_and_size(spark):
+    rows = [(1, "a b c")] * 5 + [(1, "d e f")] * 4 + [(None, "g h i")] * 3 + [(2, "one two")]
+    df = documents(spark, rows)
+    mixed = mix_sources(df)
+    kept = sorted(str(r.doc_id) for r in take_copies(df, mixed).collect())
+    assert kept == sorted(str(r.doc_id) for r in mixed.collect() for _ in range(r.copies))
+    assert take_copies(df.limit(0), mix_sources(df.limit(0))).count() == 0
+
+
 def test_odd_rows(spark):
     rows = odd_rows()
     df = documents(spark, rows)

@@ -5,14 +5,13 @@ taken for certain; the fraction is an inclusion probability, which the flight ph
 moves to 0 or 1 without changing the source's sums of probabilities and of words: each
 step follows the null space of these two constraints. Flights run on chunks of a
 source; what stays fractional, at most two documents of a chunk, meets in the next
-round's chunks, until one chunk is left for each source. There the landing phase
-rounds the last few so that the words miss the target least.
+round's chunks, until one chunk is left for each source. There the landing phase rounds the
+last few so that the words miss the target least, gives up the number of documents, and
+takes single ones in or out until none brings the words closer.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
 from functools import reduce
 
 import numpy as np
@@ -86,29 +85,52 @@ def flight(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.nda
 
 
 def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Rounds the few open probabilities so that the words differ least."""
-    open_ = [i for i in range(len(p)) if _EPS < p[i] < 1 - _EPS]
-    p = np.where(p > 0.5, 1.0, 0.0) if not open_ else p.copy()
-    if open_:
-        best = min(
-            itertools.product((0.0, 1.0), repeat=len(open_)),
-            key=lambda x: (
-                abs(sum((y - p[i]) * float(size[i]) for y, i in zip(x, open_))),
-                abs(sum(y - p[i] for y, i in zip(x, open_))),
-            ),
-        )
-        p[open_] = best
+    """Rounds the few open probabilities so that the words differ least, and among those ways
+    the numbers. Of equal ways the first counts."""
+    open_ = np.flatnonzero((p > _EPS) & (p < 1 - _EPS))
+    ways = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
+    change = ways - p[open_]
+    words, number = np.abs(change @ size[open_].astype(float)), np.abs(change.sum(1))
+    p = p.copy()
+    p[open_] = ways[np.lexsort((number, np.round(words, 6)))[0]]
     return p
 
 
 def _fly(group: pd.DataFrame) -> pd.DataFrame:
-    # Large documents first: those that stay open to the end are small.
+    # Large documents first: those that land are small.
     group = group.sort_values(["size", "_order"], ascending=[False, True], kind="stable")
     seed = [int(group["_chunk"].iloc[0]), int(group["_order"].iloc[0]) & (2**63 - 1), len(group)]
-    p = flight(group["_p"].to_numpy(), group["size"].to_numpy(), np.random.default_rng(seed))
-    if group["_chunks"].iloc[0] == 1:
-        p = landing(p, group["size"].to_numpy())
-    return group.assign(_p=p)
+    p, size, draw = group["_p"].to_numpy(float), group["size"].to_numpy(), np.random.default_rng(seed)
+    if group["_chunks"].iloc[0] > 1:
+        return group.assign(_p=flight(p, size, draw))
+    # Rows without words change nothing, and are not taken.
+    p[(size == 0) & (p < 1 - _EPS)] = 0.0
+    flown = flight(p, size, draw)
+    landed = np.round(landing(flown, size))
+    return group.assign(_p=mend(landed, size, float((landed - p) @ size)))
+
+
+def mend(taken: np.ndarray, size: np.ndarray, error: float) -> np.ndarray:
+    """Takes documents in or out, each time the one or two that bring the words closest, as long
+    as that helps: the last open documents may be large, and rounding them miss by much."""
+    taken, size = taken.copy(), np.append(size.astype(float), 0.0)  # the last stands for none
+    while len(taken):
+        change = np.append(np.where(taken > 0.5, -1.0, 1.0), 0.0) * size
+        order = np.argsort(change, kind="stable")
+        rising = change[order]
+        # For each first one the second that comes closest, from either side.
+        at = np.clip(np.searchsorted(rising, -(error + change)), 1, len(rising) - 1)
+        second = np.stack([order[at - 1], order[at]])
+        left = np.abs(error + change + change[second])
+        left[second == np.arange(len(change))] = np.inf
+        side, first = np.unravel_index(int(left.argmin()), left.shape)
+        if left[side, first] >= abs(error) - _EPS:
+            break
+        for i in (first, second[side, first]):
+            if i < len(taken):
+                taken[i] = 1 - taken[i]
+                error += change[i]
+    return taken
 
 
 def mix_sources(
@@ -162,16 +184,24 @@ def mix_sources(
 
 def take_copies(df: DataFrame, mixed: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df``, each as often as ``mixed`` says. Rows with equal keys are told
-    apart by their sizes; those that also agree in these are interchangeable."""
-    turn = Window.partitionBy("_key", "_size").orderBy(F.lit(0))
-    decided = mixed.select(F.col(key).alias("_key"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    decided = decided.withColumn("_turn", F.row_number().over(turn)).select(
-        F.col("_key").alias("_k"), F.col("_size").alias("_s"), F.col("_turn").alias("_t"), "_copies"
+    apart by their sizes; those that also agree in these are interchangeable. Null keys are
+    equal, null texts have size 0, and an empty table gives none.
+
+    The texts move once: rows meet what is decided of their key and size, folded to one row,
+    and are numbered where they are.
+    """
+    def place(k: Column, size: Column) -> dict[str, Column]:
+        return {"_key": F.coalesce(k.cast("string"), F.lit("")), "_null": k.isNull(), "_size": size}
+
+    spot = ["_key", "_null", "_size"]
+    decided = mixed.groupBy(*[c.alias(n) for n, c in place(F.col(key), F.col("size")).items()]).agg(
+        F.count_if(F.col("copies") == 1).alias("_once"), F.count_if(F.col("copies") == 2).alias("_twice")
     )
     plain, names = positional(df)
-    own = plain.select("*", F.col(names[key]).alias("_key"), word_count(names[text]).alias("_size"))
-    own = own.withColumn("_turn", F.row_number().over(turn))
-    same = own["_key"].eqNullSafe(decided["_k"]) & (own["_size"] == decided["_s"]) & (own["_turn"] == decided["_t"])
-    return own.join(decided, same).withColumn(
-        "_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))
-    ).select(*[own[c].alias(n) for n, c in names.items()])
+    own = plain.withColumns(place(F.col(names[key]), word_count(names[text])))
+    # Numbered by the columns of the join: nothing moves again.
+    turn = F.row_number().over(Window.partitionBy(*spot).orderBy(F.lit(0)))
+    met = own.join(decided.where("_once + _twice > 0").hint("shuffle_merge"), spot).withColumn("_turn", turn)
+    times = F.when(F.col("_turn") <= F.col("_twice"), 2).when(F.col("_turn") <= F.col("_twice") + F.col("_once"), 1)
+    copies = F.array_repeat(F.lit(1), F.coalesce(times, F.lit(0)))
+    return met.withColumn("_copy", F.explode(copies)).select(*[F.col(c).alias(n) for n, c in names.items()])
