@@ -1,27 +1,32 @@
 import random
+from collections import defaultdict
+
+import pytest
 
 from tests.llm.cases import documents, lines, odd_rows, words
 from tidemill.llm.lines import chunk_ends, dedup_lines, runs
 
 
 def brute(rows):
-    """Occurrences in the order of keys, null last; rows alike in key and text as one."""
-    seen, out = set(), {}
+    """Of equal chunks and equal runs all but the first go, in the order of keys, null last; rows
+    alike in key and text count as one."""
+    places, out = defaultdict(list), {}
     for row in sorted(set((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0)):
-        if row[1] is None:
-            out[row] = None
-            continue
-        own, start, parts = [], 0, row[1].split("\n")
+        out[row] = None if row[1] is None else [True] * (row[1].count("\n") + 1)
+        parts, start = (row[1] or "").split("\n"), 0
         for end in chunk_ends(parts):
             chunk = tuple(parts[start:end])
-            start = end
             if sum(bool(x.strip()) for x in chunk) >= 2:
-                if chunk in seen:
-                    continue
-                seen.add(chunk)
-            own += chunk
-        out[row] = "\n".join(own)
-    return out
+                places["chunk", chunk].append((row, start, end))
+            start = end
+        for first, last, _ in sorted(runs(row[1] or "")):
+            places["run", tuple(parts[first : last + 1])].append((row, first, last + 1))
+    for found in places.values():
+        for row, start, end in found[1:]:
+            out[row][start:end] = [False] * (end - start)
+    return {
+        row: None if kept is None else "\n".join(x for x, k in zip(row[1].split("\n"), kept) if k) for row, kept in out.items()
+    }
 
 
 def test_odd_rows(spark):
@@ -69,6 +74,23 @@ def test_short_passages_inside_other_text_go_whole(spark):
         assert got[k].n_removed == (0 if k % 10 == 0 else passage.count("\n") + 1)
 
 
+@pytest.mark.parametrize("size", [990, 1010, 1400])
+def test_passages_go_whole_whatever_their_length(spark, size):
+    """Nothing of a later copy stays, long or short."""
+    rows = []
+    for i in range(12):
+        passage, n, j = [], 0, 0
+        while n < size:
+            passage.append(words(70_000 + 1000 * i + j, min(9 + j % 4, size - n)))
+            n, j = n + min(9 + j % 4, size - n), j + 1
+        for k in (0, 1):
+            around = [lines(20_000 + 4 * i + 2 * k, 2 + i % 3), lines(20_001 + 4 * i + 2 * k, 3)]
+            rows.append((2 * i + k, "\n".join([around[0], *passage, around[1]]), around))
+    got = {r.doc_id: r.text for r in dedup_lines(documents(spark, [r[:2] for r in rows])).collect()}
+    for key, text, around in rows:
+        assert got[key] == ("\n".join(around) if key % 2 else text)
+
+
 def test_runs_are_the_shortest_of_fifty_words():
     draw = random.Random(3)
     for _ in range(50):

@@ -8,7 +8,7 @@ anywhere are compared byte for byte, and all but the first occurrence are remove
 Chunk limits miss passages that lie between them. So the shortest run of lines with at
 least 50 words is taken from every line onwards, and back from every line. Such runs
 cover every repeated passage of whole lines and that many words to its first and last
-line. Equal runs, by 128 bits of hash, are treated like equal chunks.
+line, whatever its length. Equal runs, by 128 bits of hash, are treated like equal chunks.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ ROLL = 2  # lines under the rolling hash
 MEAN = 4  # one rolling hash in so many ends a chunk
 LEAST = 2  # lines of a chunk, and lines that are not blank of one that may go
 WORDS = 50  # of a run of lines that may go
-WHOLE = 1000  # words of a passage up to which it goes to its ends
 
 
 def chunk_ends(lines: list[str], roll: int = ROLL, mean: int = MEAN, least: int = LEAST) -> list[int]:
@@ -83,27 +82,16 @@ def runs(text: str, least: int = WORDS) -> Iterator[tuple[int, int, bytes]]:
 
 
 def _cut_lines(lines: list[str], chunks: list[int] | None, spans: list[dict] | None) -> np.ndarray:
-    """Which lines go: those of the chunks, and of passages that the runs make up. Beside
-    chunks that go, an end of a passage over ``WHOLE`` words stays if below ``WORDS``."""
-    gone = np.zeros(len(lines), bool)
-    if chunks:
-        ends = [0, *chunk_ends(lines)]
-        for number in chunks:
-            gone[ends[number] : ends[number + 1]] = True
-    if not spans:
-        return gone
+    """Which lines go: those of the chunks, and of passages that the runs make up."""
     step = np.zeros(len(lines) + 1, np.int64)
-    np.add.at(step, [x["first"] for x in spans], 1)
-    np.add.at(step, [x["last"] + 1 for x in spans], -1)
-    edges = np.flatnonzero(np.diff(np.r_[False, np.cumsum(step[:-1]) > 0, False]))
-    counts = _counts(lines)
-    for low, high in zip(edges[::2].tolist(), edges[1::2].tolist()):
-        taken = low + np.flatnonzero(gone[low:high])
-        if len(taken) and counts[low:high].sum() > WHOLE:
-            low = int(taken[0]) if counts[low : taken[0]].sum() < WORDS else low
-            high = int(taken[-1]) + 1 if counts[taken[-1] + 1 : high].sum() < WORDS else high
-        gone[low:high] = True
-    return gone
+    if chunks:
+        ends = np.array([0, *chunk_ends(lines)])
+        np.add.at(step, ends[chunks], 1)
+        np.add.at(step, ends[np.array(chunks) + 1], -1)
+    if spans:
+        np.add.at(step, [x["first"] for x in spans], 1)
+        np.add.at(step, [x["last"] + 1 for x in spans], -1)
+    return np.cumsum(step[:-1]) > 0
 
 
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
