@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -55,6 +56,35 @@ def test_the_ratio_of_labels_does_not_change_with_the_size(spark, monkeypatch):
     assert len(few) < 1000 and abs(np.mean(few) - np.mean(known)) < 0.02
 
 
+def test_vocabulary_alone_tells_texts_apart(spark):
+    """Words of the same lengths in the same form; only which words they are differs."""
+    draw = random.Random(6)
+    vocabulary = [["".join(draw.choice("abcdefghijklmnop") for _ in range(n % 7 + 2)) for n in range(150)] for _ in range(2)]
+    rows, labels = [], []
+    for i in range(900):
+        good = i % 2
+        pick = [draw.randrange(150) for _ in range(draw.randint(30, 120))]
+        rows.append((i, " ".join(vocabulary[good if draw.random() < 0.7 else 1 - good][k] for k in pick)))
+        labels.append((i, good, 0))
+    docs, known = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = score_quality(docs, train(docs, known)).where(held_out()).select("doc_id", "score").collect()
+    good, bad = ([r.score for r in got if r.doc_id % 2 == k] for k in (1, 0))
+    auc = np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+    assert auc > 0.95
+
+
+def test_one_row_for_each_key(spark, monkeypatch):
+    monkeypatch.setattr(quality, "fit", lambda terms, known: (terms, known))
+    rows = [(i, words(i, 5)) for i in range(40)] * 2 + [(i, words(900 + i, 5)) for i in range(40)]
+    labels = [(i, y, 0) for i in range(40) for y in (1, i % 2)] * 2
+    docs, known = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    terms, y = train(docs, known)
+    open_ = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    assert len(terms) == len(y) == len(open_) and y.sum() == sum(i % 2 for i in open_)
+    again = train(docs.repartition(7), known.repartition(5))
+    assert np.array_equal(terms, again[0]) and np.array_equal(y, again[1])
+
+
 def test_votes_are_those_of_brute_force():
     rows, labels = corpus(150)
     terms = np.stack([Describer()(t) for _, t in rows])

@@ -1,9 +1,9 @@
 """Quality scores by nearest-neighbour voting among labelled documents.
 
-A text is described by the shapes of its characters and words, not by its vocabulary:
-grams of character classes, and whether words repeat those shortly before. The terms'
-roots of relative frequency, weighted by rarity, are projected to the leading latent
-dimensions of a labelled sample. The sample's vectors are broadcast; every document is
+A text is described by its words, hashed, and by its form: grams of character classes, word
+lengths, and whether words repeat those shortly before. Both parts' roots of relative
+frequency, weighted by rarity, are projected to the leading latent dimensions of a labelled
+sample, so texts are near that use words of the same kind in the same form. The sample's vectors are broadcast; every document is
 compared with all of them in blocks of exact cosine products, and the labels of the
 nearest are averaged by similarity.
 
@@ -29,8 +29,11 @@ SAMPLE = 4000
 DIMENSIONS = 48
 NEIGHBOURS = 25
 BLOCK = 512
-_GRAMS, _LAGS = 2048, 6
-TERMS = _GRAMS + 2 * _LAGS + 32
+WORD_SHARE = 0.1  # of a text's squared length that its words make up, beside 1 of its form
+_GRAMS, _LAGS, _WORDS = 2048, 6, 1024
+_FORM = _GRAMS + 2 * _LAGS + 32
+TERMS = _FORM + _WORDS
+_EXTRA, _STEPS = 16, 6  # of the subspace iteration
 
 
 def _classes() -> np.ndarray:
@@ -49,6 +52,8 @@ def _classes() -> np.ndarray:
 class Describer:
     def __init__(self) -> None:
         self.classes, self.roller = _classes(), Roller()
+        self.small = np.arange(256, dtype=np.uint8)
+        self.small[65:91] = self.small[97:123]
 
     def __call__(self, text: str) -> np.ndarray:
         """Root frequencies of the terms; all 0 for a text without words."""
@@ -75,8 +80,19 @@ class Describer:
             same = int((hashes[lag:] == hashes[:-lag]).sum())
             out[_GRAMS + 2 * lag - 2] = 4 * same
             out[_GRAMS + 2 * lag - 1] = len(hashes) - same
-        out[_GRAMS + 2 * _LAGS :] = np.bincount(np.minimum(ends - starts, 31), minlength=32)
-        return np.sqrt(out / out.sum())
+        out[_GRAMS + 2 * _LAGS : _FORM] = np.bincount(np.minimum(ends - starts, 31), minlength=32)
+        # Words by their letters and digits: the marks around them belong to the form.
+        letters = self._letters(data)
+        out[_FORM:] = np.bincount((mix64(letters) % np.uint64(_WORDS)).astype(np.int64), minlength=_WORDS)
+        out[:_FORM] /= out[:_FORM].sum()
+        out[_FORM:] *= WORD_SHARE / max(out[_FORM:].sum(), 1)
+        return np.sqrt(out)
+
+    def _letters(self, data: np.ndarray) -> np.ndarray:
+        """Hashes of the runs of letters and digits, capitals as small ones."""
+        kinds = self.classes[data]
+        edges = np.flatnonzero(np.diff(np.r_[False, (kinds > 1) & (kinds < 5), False]))
+        return self._hashes(self.small[data], edges[::2], edges[1::2])
 
     def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         n = len(data)
@@ -117,22 +133,31 @@ class Model:
         return np.clip(out, 0.0, 1.0)
 
 
+def _leading(terms: np.ndarray, weight: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """The leading directions of the weighted rows, by subspace iteration. In blocks, so that
+    the driver holds no second copy of the sample."""
+    basis = np.random.default_rng(TERMS).normal(size=(TERMS, min(DIMENSIONS + _EXTRA, TERMS)))
+    for _ in range(_STEPS):
+        basis, _ = np.linalg.qr(basis)
+        image = np.zeros_like(basis)
+        for at in range(0, len(terms), BLOCK):
+            part = (terms[at : at + BLOCK] * weight - mean).astype(np.float64)
+            image += part.T @ (part @ basis)
+        small = basis.T @ image
+        basis_before, basis = basis, image
+    values, turn = np.linalg.eigh((small + small.T) / 2)
+    return np.ascontiguousarray((basis_before @ turn[:, ::-1])[:, :DIMENSIONS]).astype(np.float32)
+
+
 def fit(terms: np.ndarray, labels: np.ndarray) -> Model:
-    """Latent dimensions of the sample by eigenvectors of its covariance."""
+    """Latent dimensions of the sample, the leading ones of its covariance."""
     empty = np.zeros(TERMS, np.float32)
     if not len(terms):
         return Model(empty, empty, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
     seen = (terms > 0).sum(0)
     weight = np.log((1 + len(terms)) / (1 + seen)).astype(np.float32) + 1
     mean = (terms.mean(0) * weight).astype(np.float32)
-    # By blocks, so that the driver holds no second copy of the sample in doubles.
-    scatter = np.zeros((TERMS, TERMS))
-    for at in range(0, len(terms), BLOCK):
-        part = (terms[at : at + BLOCK] * weight - mean).astype(np.float64)
-        scatter += part.T @ part
-    _, vectors = np.linalg.eigh(scatter)
-    del scatter
-    basis = np.ascontiguousarray(vectors[:, ::-1][:, :DIMENSIONS]).astype(np.float32)
+    basis = _leading(terms, weight, mean)
     model = Model(weight, mean, basis, np.zeros((0, 1), np.float32), labels, float(labels.mean()))
     parts = [model.project(terms[at : at + BLOCK]) for at in range(0, len(terms), BLOCK)]
     model.vectors = np.concatenate(parts).astype(np.float32)
@@ -155,13 +180,16 @@ def describe(df: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
-    """A model from at most ``SAMPLE`` labelled rows, those with the smallest key hashes
-    whatever their label, none of them held out. Other labels than 0 and 1 are ignored."""
+    """A model from at most ``SAMPLE`` labelled keys, those with the smallest hashes whatever
+    their label, none of them held out. Other labels than 0 and 1 are ignored; of several labels
+    of a key the smaller counts, and of several texts that with the smallest hash."""
     open_ = labels.where(F.col(key).isNotNull() & ~held_out(key)).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_y"))
-    chosen = open_.where(F.col("_y").isin(0, 1)).orderBy(F.xxhash64("_key"), "_key", "_y").limit(SAMPLE)
+    chosen = open_.where(F.col("_y").isin(0, 1)).groupBy("_key").agg(F.min("_y").alias("_y"))
+    chosen = chosen.orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE)
     sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
-    # Repeated keys could multiply the rows: the bound holds here once more.
-    rows = describe(sample, "_text", "_terms").select("_y", "_terms").limit(2 * SAMPLE).collect()
+    described = describe(sample.withColumn("_hash", F.xxhash64("_text")), "_text", "_terms")
+    one = described.groupBy("_key").agg(F.min(F.struct("_hash", "_y", "_terms")).alias("r"))
+    rows = one.orderBy(F.xxhash64("_key"), "_key").select("r._y", "r._terms").collect()
     known = np.array([r[0] for r in rows], np.float32)
     terms = np.stack([np.frombuffer(r[1], "<f4") for r in rows]) if rows else np.zeros((0, TERMS), np.float32)
     del rows
