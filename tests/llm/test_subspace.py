@@ -60,7 +60,7 @@ def test_links_are_those_of_all_pairs(spark, dim):
 
 
 def test_large_cells_are_split(spark, monkeypatch):
-    monkeypatch.setattr(subspace, "TASK", 20)
+    monkeypatch.setattr(subspace, "TASK_BYTES", 20 * 8 * 8)
     rows = cloud(3, 12)
     assert got(frame(spark, rows)) == brute(rows)
 
@@ -78,3 +78,29 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert linked_vectors(frame(spark, cloud(1, 3, 2)).limit(0)).count() == 0
+
+
+def test_few_pairs_are_compared_and_none_is_missed():
+    """Random unit vectors of one label, with pairs planted at the limit."""
+    least, shares = 0.98, []
+    for n in (5000, 20000):
+        draw = np.random.default_rng(n)
+        x = draw.normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        for i in range(0, 200, 2):
+            away = draw.normal(size=64)
+            away -= (away @ x[i]) * x[i]
+            cosine = draw.uniform(0.9801, 0.99)
+            x[i + 1] = cosine * x[i] + np.sqrt(1 - cosine**2) * away / np.linalg.norm(away)
+        turned = x @ subspace.rotation(64)
+        limits, compared, found = subspace.block_limits(64), 0, set()
+        for low, high in zip(limits[:-1], limits[1:]):
+            radius = np.sqrt((2 - 2 * least) * (high - low) / 64) + 1e-9
+            y = turned[:, low:high]
+            for i, j in subspace.close_pairs(y, y, radius):
+                compared += len(i) * len(j)
+                a, b = np.nonzero(turned[i] @ turned[j].T >= least)
+                found.update((int(p), int(q)) for p, q in zip(i[a], j[b]) if p < q)
+        shares.append(compared / n**2)
+        assert {(i, i + 1) for i in range(0, 200, 2)} <= found
+    assert shares[1] < 0.1 and shares[1] < 0.7 * shares[0]

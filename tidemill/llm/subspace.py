@@ -3,8 +3,10 @@
 Unit vectors are rotated and split into blocks of dimensions. If two of them lie within
 a squared distance, then in some block they lie within that block's proportional share
 of it. Each block is a range join: vectors meet in the cells of a grid over the block's
-first coordinates. The union of what the blocks find is verified by exact cosines, and a
-pair counts in the first block that finds it, so nothing counts twice.
+first coordinates, and those of a cell are halved along one coordinate after the other, with
+only the strips beside a cut meeting across it, until few are left to compare by the whole
+block. The union of what the blocks find is verified by exact cosines, and a pair counts
+in the first block that finds it, so nothing counts twice.
 
 Cells with many vectors are split into a grid of tasks. A task returns the number of
 links of each vector and one link to the smallest it is connected to there, not the
@@ -25,7 +27,8 @@ from tidemill.llm.common import components, saved
 
 BLOCKS, GRID = 4, 3
 CELL = 3.0  # width of a cell in radii
-TASK = 2000  # vectors on each side of a task
+TASK_BYTES = 8 << 20  # of vectors on each side of a task
+LEAF = 16  # vectors on each side that are compared at once
 _SLACK = 1e-9
 
 
@@ -111,6 +114,27 @@ def _cells(least: float):
     return run
 
 
+def close_pairs(x: np.ndarray, y: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of ``x`` and rows of ``y``, few at a time, all of which are to be compared with each
+    other: among them is every pair that differs by ``radius`` at most in each coordinate."""
+    todo = [(np.arange(len(x)), np.arange(len(y)), 0)]
+    while todo:
+        i, j, depth = todo.pop()
+        if not len(i) or not len(j):
+            continue
+        if len(i) * len(j) <= LEAF * LEAF or depth >= 3 * x.shape[1]:
+            yield from ((i[at : at + 256], j) for at in range(0, len(i), 256))
+            continue
+        p, q = x[i, depth % x.shape[1]], y[j, depth % x.shape[1]]
+        cut = np.median(q)
+        low, high = p <= cut, q <= cut
+        todo += [
+            (i[low], j[high], depth + 1), (i[~low], j[~high], depth + 1),
+            (i[low & (p >= cut - radius)], j[~high & (q <= cut + radius)], depth + 1),
+            (i[~low & (p <= cut + radius)], j[high & (q >= cut - radius)], depth + 1),
+        ]
+
+
 def _join(least: float):
     def run(table: pa.Table) -> pa.Table:
         key = table["key"].to_numpy()
@@ -126,26 +150,28 @@ def _join(least: float):
         root = np.arange(len(key))
         pairs = []
 
-        def within(rows: np.ndarray, b: int) -> np.ndarray:
+        def within(rows: np.ndarray, others: np.ndarray, b: int) -> np.ndarray:
             low, high = limits[b], limits[b + 1]
-            p, q = x[rows, low:high], x[right, low:high]
+            p, q = x[rows, low:high], x[others, low:high]
             square = (p * p).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2 * p @ q.T
             return square <= (2 - 2 * least + _SLACK) * (high - low) / n
 
-        for at in range(0, len(left), 256):
-            rows = left[at : at + 256]
-            hit = within(rows, block)
-            # Two that are at home here meet from one side only.
-            hit &= probe[rows][:, None] | (key[rows][:, None] < key[right][None, :])
+        low, high = limits[block], limits[block + 1]
+        radius = np.sqrt((2 - 2 * least + _SLACK) * (high - low) / n) + _SLACK
+        for i, j in close_pairs(x[left, low:high], x[right, low:high], radius):
+            rows, others = left[i], right[j]
+            hit = within(rows, others, block)
             if not hit.any():
                 continue
+            # Two that are at home here meet from one side only.
+            hit &= probe[rows][:, None] | (key[rows][:, None] < key[others][None, :])
             for b in range(block):
-                hit &= ~within(rows, b)
-            hit &= unit[rows] @ unit[right].T >= least
+                hit &= ~within(rows, others, b)
+            hit &= unit[rows] @ unit[others].T >= least
             i, j = np.nonzero(hit)
-            np.add.at(links, rows[i], times[right[j]])
-            np.add.at(links, right[j], times[rows[i]])
-            pairs.append((rows[i], right[j]))
+            np.add.at(links, rows[i], times[others[j]])
+            np.add.at(links, others[j], times[rows[i]])
+            pairs.append((rows[i], others[j]))
         if pairs:
             i, j = (np.concatenate(p) for p in zip(*pairs))
             order = np.argsort(key, kind="stable")
@@ -193,7 +219,7 @@ def linked_vectors(
     loads = cells.groupBy(*spot).agg(F.count("*").alias("all"), F.count_if(~F.col("probe")).alias("homes"))
     # A cell without a vector at home, or with a single one, has no pair.
     loads = loads.where("homes > 0 and all > 1").select(
-        *spot, F.ceil(F.col("all") / TASK).cast("int").alias("p"), F.ceil(F.col("homes") / TASK).cast("int").alias("q")
+        *spot, *[F.ceil(F.col(n) * F.col("dim") * 8 / TASK_BYTES).cast("int").alias(m) for n, m in (("all", "p"), ("homes", "q"))]
     )
     met = cells.join(loads, spot)
     small = met.where("p = 1").withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(3)})
