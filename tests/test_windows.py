@@ -1,5 +1,6 @@
 """Window operators against plain Python, and on the edges."""
 
+import math
 import random
 from datetime import datetime, timedelta, timezone
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import weather
-from tidemill.functions import COUNT, MEAN
+from tidemill.functions import COUNT, EXACT_MEAN, MEAN
 from tidemill.operators import (
     keep_above,
     keep_at_least,
@@ -201,3 +202,25 @@ def test_hot_key_is_folded_before_the_shuffle(spark, small_sf):
     assert "partial_count" in final[lowest_exchange:]
     # Cells, chunks, edges: rows are read once.
     assert final.count("FileScan") == 1
+
+
+def test_exact_means_do_not_depend_on_partitions(spark):
+    draw = random.Random(9)
+    values = [draw.uniform(-1, 1) * 10.0 ** draw.randint(-9, 12) for _ in range(4000)]
+    values += [0.1, -0.0, 0.0, 1e-300, 2.0**119, -(2.0**119), 2.0**-67, 1e18 + 1, None]
+    start = datetime(2022, 1, 1)
+    rows = spark.createDataFrame([(start + timedelta(minutes=i), v, i % 3) for i, v in enumerate(values)], "t timestamp_ntz, v double, k int")
+    found = set()
+    for n in (1, 8, 200):
+        dealt = rows.repartition(n, F.rand(n))
+        days = tumbling_combine(dealt, "t", "v", combine=EXACT_MEAN, keys=["k"]).collect()
+        hours = sliding_combine(dealt, "t", "v", combine=EXACT_MEAN, keys=["k"]).collect()
+        found.add(tuple(sorted((r["k"], r["window_start"], r["mean"].hex()) for r in days + hours)))
+    assert len(found) == 1
+    by = {}
+    for r, v in zip(rows.collect(), values):
+        day = (r["t"] - timedelta(hours=15)).date()
+        by.setdefault((r["k"], day), []).append(v)
+    for r in tumbling_combine(rows, "t", "v", combine=EXACT_MEAN, keys=["k"]).collect():
+        own = [v for v in by[r["k"], r["window_start"].date()] if v is not None]
+        assert r["mean"] == pytest.approx(math.fsum(own) / len(own), rel=1e-14, abs=1e-300)

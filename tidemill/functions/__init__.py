@@ -1,5 +1,5 @@
 from tidemill.functions.codec import decode_long, decode_text, encode_long, encode_text
-from tidemill.functions.combine import COUNT, MEAN, MEAN_AND_COUNT, Combine
+from tidemill.functions.combine import COUNT, EXACT_MEAN, MEAN, MEAN_AND_COUNT, Combine
 from tidemill.functions.lines import (
     daily_mean_line,
     moving_mean_line,
@@ -18,6 +18,7 @@ from tidemill.functions.timetext import (
 
 __all__ = [
     "COUNT",
+    "EXACT_MEAN",
     "Combine",
     "MEAN",
     "MEAN_AND_COUNT",

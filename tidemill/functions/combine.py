@@ -36,7 +36,7 @@ class Combine:
 
 # Names the windowed operators use for themselves.
 RESERVED = frozenset(
-    "_sum _n _rows _w _t _us _reading _pane _cell _part _first _last _before _after _starts "
+    "_sum _n _rows _rest _limb0 _limb1 _limb2 _limb3 _limb4 _limb5 _limb6 _limb7 _limb8 _limb9 _w _t _us _reading _pane _cell _part _first _last _before _after _starts "
     "_session _edge window_start window_end".split()
 )
 
@@ -54,6 +54,60 @@ MEAN = Combine(
     finish=lambda p: F.when(p["_n"] > 0, p["_sum"].cast("double") / p["_n"]),
 )
 
+# A double is a sum of whole multiples of powers of 2**24. Sums of each are exact in 64 bits
+# for 2**39 rows, so their order does not matter.
+_LIMB = 24
+_LIMBS = range(-5, 5)
+_RANGE = (2.0 ** (_LIMB * _LIMBS[0] + 53), 2.0 ** (_LIMB * (_LIMBS[-1] + 1)))
+
+
+def _limb(k: int) -> Callable[[Column], Column]:
+    def make(value: Column) -> Column:
+        x = value.cast("double")
+        # A remainder of doubles is exact; the cast drops what smaller multiples hold.
+        digit = ((F.abs(x) * F.lit(2.0 ** (-_LIMB * k))) % F.lit(2.0**_LIMB)).cast("long")
+        return F.sum(F.when(_in_range(x), F.when(x < 0, -digit).otherwise(digit)).otherwise(F.lit(0).cast("long")))
+
+    return make
+
+
+def _in_range(x: Column) -> Column:
+    return (x == 0) | (F.abs(x) >= F.lit(_RANGE[0])) & (F.abs(x) < F.lit(_RANGE[1]))
+
+
+def _limb_name(k: int) -> str:
+    return f"_limb{k - _LIMBS[0]}"
+
+
+def _exact_mean(p: dict[str, Column]) -> Column:
+    """Carries the sums of the multiples into each other, the smallest first, and adds them."""
+    digits = F.array(*[F.struct(p[_limb_name(k)].alias("v"), F.lit(2.0 ** (_LIMB * k)).alias("unit")) for k in _LIMBS])
+    zero = F.struct(F.lit(0).cast("long").alias("carry"), F.lit(0.0).alias("total"))
+
+    def add(acc: Column, x: Column) -> Column:
+        v = x["v"] + acc["carry"]
+        # From minus half to half, so that a small negative sum has no large parts.
+        half = F.lit(1 << (_LIMB - 1))
+        low = F.pmod(v + half, F.lit(1 << _LIMB)) - half
+        return F.struct(F.shiftright(v - low, _LIMB).alias("carry"), (acc["total"] + low * x["unit"]).alias("total"))
+
+    top = F.lit(2.0 ** (_LIMB * (_LIMBS[-1] + 1)))
+    total = F.aggregate(digits, zero, add, lambda acc: acc["total"] + acc["carry"] * top)
+    return F.when(p["_n"] > 0, (total + F.coalesce(p["_rest"], F.lit(0.0))) / p["_n"])
+
+
+# The mean of doubles, the same to the last bit however the rows are dealt out. Values of
+# 2**120 and more, those nearer to 0 than 2**-67, and NaN are summed as they come.
+EXACT_MEAN = Combine(
+    parts={
+        **{_limb_name(k): _limb(k) for k in _LIMBS},
+        "_rest": lambda v: F.sum(F.when(~_in_range(v.cast("double")), v.cast("double"))),
+        "_n": F.count,
+    },
+    merge={**{_limb_name(k): F.sum for k in _LIMBS}, "_rest": F.sum, "_n": F.sum},
+    finish=_exact_mean,
+)
+
 COUNT = Combine(
     parts={"_n": lambda _: F.count(F.lit(1))},
     merge={"_n": F.sum},

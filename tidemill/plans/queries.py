@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions import (
     COUNT,
+    EXACT_MEAN,
     MEAN,
     MEAN_AND_COUNT,
     daily_mean_line,
@@ -480,6 +481,18 @@ def sliding_mean_lineitem(spark, sf_dir):
 # --- session windows ------------------------------------------------------------------------
 
 
+@query(
+    f"""
+    SELECT time_bucket(INTERVAL 1 DAY, ts, INTERVAL 15 HOUR) AS s, {mean_sql('value')} AS m
+    FROM events GROUP BY 1
+    """
+)
+def exact_mean(spark, sf_dir):
+    """Daily means whose bits do not depend on how the rows are dealt out."""
+    out = tumbling_combine(table(spark, sf_dir, "events"), "ts", "value", combine=EXACT_MEAN)
+    return out.select(ntz("window_start").alias("s"), rounded("mean").alias("m"))
+
+
 def _sessions_sql(rows: str, key: str, gap: str, tail: str = "") -> str:
     """Runs of ``rows`` (k, t) per key, by the gap before each row."""
     return f"""
