@@ -1002,26 +1002,28 @@ def tsv_two_layouts(spark, sf_dir):
 
 @query(
     f"""
-    SELECT CASE event_id % 2 WHEN 0 THEN 'a' ELSE 'b' END || '/20240101-20240115-osaka' AS file,
+    SELECT CASE event_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END || '/20240101-20240115-osaka' AS file,
            strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S.%g') || '+09:00' AS "timestamp",
            CAST(event_id AS VARCHAR) AS temperature
     FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-16'
     """
 )
 def stream_clean_raw(spark, sf_dir):
-    """Raw files in Shift-JIS bytes, of one name in two folders, cleaned as they arrive: the second
-    run of the stream takes the second folder only."""
+    """Raw files in Shift-JIS bytes, of one name in three folders, cleaned as they arrive: each run
+    of the stream takes the new folder only."""
     base = scratch_dir(spark, "arriving")
     day = F.date_format("ts", "yyyy/M/d H:mm:ss")
     line = F.concat(day, F.lit(","), F.col("event_id").cast("string"), F.lit(",8,1,0,1,8,1"))
     above = ["ダウンロードした時刻：2024/02/01 12:00:00", "", "年月日時,気温(℃),気温(℃),気温(℃),降水量(mm)"]
     events = table(spark, sf_dir, "events")
-    for turn, folder in enumerate("ab"):
-        rows = events.filter(F.col("event_id") % 2 == turn).select(F.encode(line, "US-ASCII").alias("line"))
+    for turn, folder in enumerate("abc"):
+        rows = events.filter(F.col("event_id") % 3 == turn).select(F.encode(line, "US-ASCII").alias("line"))
         header = spark.createDataFrame([(x.encode("cp932"),) for x in above], "line binary")
         # One file of bytes below the name that a download has.
         _write_bytes(header.union(rows), f"{base}/raw/{folder}/20240101-20240115-osaka.csv")
-        raw = read_raw_observations(spark, f"{base}/raw/*/*", stream=True, root=f"{base}/raw")
+        raw = read_raw_observations(
+            spark, f"{base}/raw/*/*", stream=True, root=f"{base}/raw", maxFilesPerTrigger=1
+        )
         # Spark wrote the file as a folder of parts, which the name is taken from.
         raw = raw.withColumn("file_name", F.regexp_replace("file_name", "/[^/]*$", ""))
         start_tsv_sink(
