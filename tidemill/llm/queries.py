@@ -157,7 +157,7 @@ def op12_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = F.crc32(F.col("doc_id").cast("string")) % 7
     scored = score_texts(documents, rest != 2)
     return scored.select(
-        "doc_id", (rest == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+        "doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
 
 
