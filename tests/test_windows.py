@@ -80,6 +80,21 @@ def test_only_edge_sessions_meet_again(spark, tmp_path):
     assert "Filter _edge" in final or "Filter (isnotnull(_edge" in final
 
 
+def test_session_tasks_grow_with_the_rows(spark, monkeypatch):
+    """However few shuffle partitions a session has: both chainings have a task for each share."""
+    monkeypatch.setattr(windows, "_TASK_ROWS", 200, raising=False)
+    monkeypatch.setattr(windows, "_LONG_SPAN", 9 * HOUR)  # chunks of three cells
+    rows = random_rows(seed=11, n=4000, span=4000 * 3600)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        out = session_combine(frame(spark, rows), "t", "v", keys=["k"])
+        assert found_sessions(out) == expected_sessions(rows, HOUR)
+        assert out.rdd.getNumPartitions() >= 2 * 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_reserved_keys_are_refused(spark):
     rows = frame(spark, random_rows(seed=1)).withColumnRenamed("k", "_n")
     for combine in (tumbling_combine, sliding_combine, session_combine):

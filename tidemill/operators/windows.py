@@ -24,6 +24,10 @@ HOUR = timedelta(hours=1)
 # Longer ones are right as well.
 _LONG_SPAN = timedelta(days=3650)
 
+# Rows for each task that chains sessions, at most, unless one chunk of a key has more
+# cells: a task takes some 350 bytes of memory for a cell, far more than it reads.
+_TASK_ROWS = 500_000
+
 BOUNDS = ("window_start", "window_end")
 
 
@@ -130,7 +134,9 @@ def session_combine(
     A key has at most (time span / gap) cells, however many rows it has: 88,000 for
     ten years and one hour. Chunks are as long as there are many in ten years, so
     steps 2 and 3 see about the square root of that bound in one task, and what
-    step 3 shuffles is two sessions a chunk.
+    step 3 shuffles is two sessions a chunk. A batch is counted first, and steps 2 and
+    3 get so many tasks that none has much more than half a million rows to hold,
+    whatever the session's number of shuffle partitions.
 
     ``prefold=False`` uses Spark's session windows in a batch, too: one shuffle
     instead of two, for data known to have many small keys and no large one.
@@ -143,7 +149,8 @@ def session_combine(
         folded = df.groupBy(*keys, window).agg(*combine.fold(F.col(reading)))
         return folded.select(*keys, *_bounds("_w"), combine.result().alias(name))
 
-    runs = session_runs(df, time, reading, keys=keys, combine=combine, gap=gap)
+    tasks = -(-df.filter(F.col(time).isNotNull()).count() // _TASK_ROWS)
+    runs = session_runs(df, time, reading, keys=keys, combine=combine, gap=gap, tasks=tasks)
     return close_sessions(runs, dict(df.dtypes)[time], keys=keys, combine=combine, name=name, gap=gap)
 
 
@@ -156,11 +163,19 @@ def session_runs(
     combine: Combine = COUNT,
     gap: timedelta = HOUR,
     earlier: DataFrame | None = None,
+    tasks: int = 1,
 ) -> DataFrame:
     """Steps 1 to 3 of :func:`session_combine` on a batch: one folded row for each session,
     with the first and last time in microseconds. ``earlier`` has such rows of sessions that
-    may go on; all of them end before the first row of ``df``."""
+    may go on; all of them end before the first row of ``df``. If more than one, ``tasks``
+    is how many steps 2 and 3 have at least; otherwise Spark decides."""
     gap_us = micros(gap)
+
+    def dealt(runs: DataFrame, by: list[str]) -> DataFrame:
+        if tasks <= 1:
+            return runs
+        return runs.repartition(max(tasks, df.sparkSession.sparkContext.defaultParallelism), *by)
+
     instant = F.unix_micros(F.col(time).cast("timestamp"))
     cells = (
         df.filter(F.col(time).isNotNull())
@@ -174,12 +189,13 @@ def session_runs(
         cells = cells.unionByName(earlier.withColumn("_cell", start))
     chunk_us = gap_us * max(1, isqrt(micros(_LONG_SPAN) // gap_us))
     chunked = cells.withColumn("_part", F.col("_cell") - F.pmod("_cell", F.lit(chunk_us)))
-    local = _chain(chunked, [*keys, "_part"], gap_us, combine)
+    local = _chain(dealt(chunked, [*keys, "_part"]), [*keys, "_part"], gap_us, combine)
     # Sessions strictly inside a chunk cannot meet another one. Both branches read the
     # same shuffle.
     whole = ["_first", "_last", *combine.parts]
     inner = local.filter(~F.col("_edge")).select(*keys, *whole)
-    outer = _chain(local.filter("_edge").drop("_part", "_edge"), list(keys), gap_us, combine)
+    edges = dealt(local.filter("_edge").drop("_part", "_edge"), list(keys))
+    outer = _chain(edges, list(keys), gap_us, combine)
     return inner.union(outer.select(*keys, *whole))
 
 
