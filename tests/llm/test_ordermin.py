@@ -93,6 +93,29 @@ def test_stragglers_meet_in_blocks(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_only_classes_meet_again(spark, monkeypatch):
+    """Links of stragglers connect classes; what is connected already is not gone over again."""
+    seen, plain = [], ordermin.components
+
+    def components(links, purpose):
+        seen.append({(r.a, r.b) for r in links.collect()})
+        found = plain(links, purpose)
+        seen.append({r.id for r in found.collect()})
+        return found
+
+    verified = ordermin.verified
+    monkeypatch.setattr(ordermin, "BLOCK", 3)
+    monkeypatch.setattr(ordermin, "components", components)
+    # As if some members missed their centres.
+    monkeypatch.setattr(ordermin, "verified", lambda *given: verified(*given).where("greatest(a, b) % 3 <> 0"))
+    base = words(5, 200)
+    rows = [(100 + i, edited(base, i, 3)) for i in range(25)] + [(200 + i, edited(words(9, 150), i, 2)) for i in range(9)]
+    got = {r.doc_id: r.class_id for r in near_duplicates(documents(spark, rows)).collect()}
+    assert got == brute(rows)
+    _, settled, more, _ = seen
+    assert settled and more and not settled & {x for link in more for x in link}
+
+
 def test_odd_rows(spark):
     rows = [r if r[0] not in (8, 9) else (r[0], r[1][:3000] + str(r[0])) for r in odd_rows()]
     got = near_duplicates(documents(spark, rows)).collect()

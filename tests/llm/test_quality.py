@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import zstandard
 
 from tests.llm.cases import documents, lines, odd_rows, words
 from tidemill.llm import quality
@@ -85,6 +86,30 @@ def test_one_row_for_each_key(spark, monkeypatch):
     assert np.array_equal(terms, again[0]) and np.array_equal(y, again[1])
 
 
+def test_the_sample_reaches_the_driver_packed(spark, monkeypatch):
+    """Rows of terms are mostly 0: whole, they would fill the driver's memory."""
+    taken = {}
+    monkeypatch.setattr(quality, "fit", lambda terms, known: taken.update(terms=terms, known=known))
+    rows, labels = corpus(60)
+    train(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    terms = taken["terms"]
+    assert sum(map(len, terms.rows)) < 0.5 * 4 * quality.TERMS * len(terms)
+    texts = {Describer()(t).tobytes() for i, t in rows if zlib.crc32(str(i).encode()) % 5}
+    assert {x.tobytes() for x in terms[:]} == texts
+
+
+def test_blocks_change_no_bit(monkeypatch):
+    rows, labels = corpus(150)
+    terms = np.stack([Describer()(t) for _, t in rows])
+    y = np.array([q for _, q, _ in labels], np.float32)
+    packed = quality.Packed([zstandard.ZstdCompressor().compress(x.tobytes()) for x in terms])
+    whole, again = fit(terms, y), fit(packed, y)
+    assert np.array_equal(whole.vectors, again.vectors) and np.array_equal(whole.basis, again.basis)
+    mean = (terms.mean(0) * whole.weight).astype(np.float32)
+    monkeypatch.setattr(quality, "BLOCK", 7)
+    assert np.array_equal(fit(packed, y).mean, mean)
+
+
 def test_votes_are_those_of_brute_force():
     rows, labels = corpus(150)
     terms = np.stack([Describer()(t) for _, t in rows])

@@ -174,9 +174,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Verified links of the left members with others, one for each two classes. Members
+    """The classes that verified links of the left members with others connect. Members
     with like slots are aligned, the likest first, until their classes are connected."""
-    keys, texts = table["key"].to_pylist(), table["packed"]
+    texts = table["packed"]
     is_left = table["left"].to_numpy()
     left, right = np.flatnonzero(is_left), np.flatnonzero(~is_left)
     bins = np.frombuffer(b"".join(table["slots"].to_pylist()), "<u2").reshape(-1, SLOTS)
@@ -205,8 +205,8 @@ def _meet(table: pa.Table) -> pa.Table:
             x, y = find(classes[i]), find(classes[j])
             if x != y and alignment(own(i), own(j)) >= SIMILAR:
                 root[max(x, y)] = min(x, y)
-                links.append((keys[i], keys[j]))
-    kind = table.schema.field("key").type
+                links.append((names[classes[i]], names[classes[j]]))
+    kind = table.schema.field("comp").type
     return pa.table({"a": pa.array([a for a, _ in links], kind), "b": pa.array([b for _, b in links], kind)})
 
 
@@ -260,12 +260,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     right = rest.select("*", F.explode(lots).alias("i"), spot.alias("j"), F.lit(False).alias("left"))
     kind = df.schema[key].dataType.simpleString()
     more = (
-        left.union(right).select("band", "value", "i", "j", "left", "key", "comp", "slots", "packed")
+        left.union(right).select("band", "value", "i", "j", "left", "comp", "slots", "packed")
         .groupBy("band", "value", "i", "j").applyInArrow(_meet, f"a {kind}, b {kind}")
     )
     more = saved(more, "omh-more-links")
     if not more.isEmpty():
-        found = saved(components(saved(links.union(more), "omh-all-links"), "omh-components"), "omh-classes")
+        # Only the classes that got a link are connected anew; the others stay as they are.
+        joined = components(more, "omh-components").select(F.col("id").alias("class"), F.col("component").alias("whole"))
+        joined = saved(joined, "omh-joined-classes")
+        moved = found.join(joined, found["component"] == joined["class"], "left")
+        found = moved.select("id", F.coalesce("whole", "component").alias("component")).union(joined)
+        found = saved(found, "omh-classes")
 
     classes = every.join(firsts, "copy", "left").join(found, F.col("rep") == F.col("id"), "left")
     class_id = F.when(F.col("key").isNotNull(), F.coalesce("component", "rep"))

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,7 +134,24 @@ class Model:
         return np.clip(out, 0.0, 1.0)
 
 
-def _leading(terms: np.ndarray, weight: np.ndarray, mean: np.ndarray) -> np.ndarray:
+class Packed:
+    """Compressed rows of terms, unpacked block by block: the driver never holds them whole."""
+
+    def __init__(self, rows: list[bytes]) -> None:
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        unzip = zstandard.ZstdDecompressor()
+        return np.stack([np.frombuffer(unzip.decompress(r), "<f4") for r in self.rows[part]])
+
+    def __array__(self, dtype=None, copy=None) -> np.ndarray:
+        return self[:].astype(dtype or np.float32)
+
+
+def _leading(terms: np.ndarray | Packed, weight: np.ndarray, mean: np.ndarray) -> np.ndarray:
     """The leading directions of the weighted rows, by subspace iteration. In blocks, so that
     the driver holds no second copy of the sample."""
     basis = np.random.default_rng(TERMS).normal(size=(TERMS, min(DIMENSIONS + _EXTRA, TERMS)))
@@ -149,14 +167,18 @@ def _leading(terms: np.ndarray, weight: np.ndarray, mean: np.ndarray) -> np.ndar
     return np.ascontiguousarray((basis_before @ turn[:, ::-1])[:, :DIMENSIONS]).astype(np.float32)
 
 
-def fit(terms: np.ndarray, labels: np.ndarray) -> Model:
+def fit(terms: np.ndarray | Packed, labels: np.ndarray) -> Model:
     """Latent dimensions of the sample, the leading ones of its covariance."""
     empty = np.zeros(TERMS, np.float32)
     if not len(terms):
         return Model(empty, empty, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
-    seen = (terms > 0).sum(0)
+    seen, total = np.zeros(TERMS, np.int64), np.zeros(TERMS, np.float32)
+    for at in range(0, len(terms), BLOCK):
+        part = terms[at : at + BLOCK]
+        seen += (part > 0).sum(0)
+        total = np.add.reduce(np.vstack([total, part]), axis=0)
     weight = np.log((1 + len(terms)) / (1 + seen)).astype(np.float32) + 1
-    mean = (terms.mean(0) * weight).astype(np.float32)
+    mean = (total / np.float32(len(terms)) * weight).astype(np.float32)
     basis = _leading(terms, weight, mean)
     model = Model(weight, mean, basis, np.zeros((0, 1), np.float32), labels, float(labels.mean()))
     parts = [model.project(terms[at : at + BLOCK]) for at in range(0, len(terms), BLOCK)]
@@ -170,11 +192,14 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def describe(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the compressed terms of each text: most are 0, so they take little room on
+    their way to the driver."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        describer = Describer()
+        describer, zip_ = Describer(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            terms = np.stack([describer(t) for t in texts_of(batch.column(text))]) if len(batch) else np.zeros((0, TERMS))
-            yield append(batch, **{out: pa.array([row.astype("<f4").tobytes() for row in terms], pa.binary())})
+            terms = [zip_.compress(describer(t).astype("<f4").tobytes()) for t in texts_of(batch.column(text))]
+            yield append(batch, **{out: pa.array(terms, pa.binary())})
 
     return df.mapInArrow(run, schema_with(df, (out, T.BinaryType())))
 
@@ -189,11 +214,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
     described = describe(sample.withColumn("_hash", F.xxhash64("_text")), "_text", "_terms")
     one = described.groupBy("_key").agg(F.min(F.struct("_hash", "_y", "_terms")).alias("r"))
-    rows = one.orderBy(F.xxhash64("_key"), "_key").select("r._y", "r._terms").collect()
-    known = np.array([r[0] for r in rows], np.float32)
-    terms = np.stack([np.frombuffer(r[1], "<f4") for r in rows]) if rows else np.zeros((0, TERMS), np.float32)
-    del rows
-    return fit(terms, known)
+    rows = one.select(F.xxhash64("_key").alias("_place"), "_key", "r._y", "r._terms").collect()
+    rows.sort(key=lambda r: (r["_place"], r["_key"]))
+    return fit(Packed([bytes(r["_terms"]) for r in rows]), np.array([r["_y"] for r in rows], np.float32))
 
 
 def score_quality(df: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
